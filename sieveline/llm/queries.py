@@ -6,18 +6,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm import sql
+from sieveline.llm.canonical import map_to_list
 from sieveline.llm.components import components
 from sieveline.llm.tokenizer import encode_corpus
+from sieveline.llm.truncation import truncated, truncation_report
 from sieveline.runtime import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = truncated(table(spark, sf_dir, "alert_candidate"), seq="delivery_seq", source="source.sender")
+    return found.where("lost").select(F.col("seq").alias("delivery_seq"), "field").distinct()
+
+
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with content, truncated values and their share by sender and field."""
+    return truncation_report(truncated(table(spark, sf_dir, "alert_candidate"), seq="delivery_seq", source="source.sender"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(table(spark, sf_dir, "candidate_pair"), "candidate_id_a", "candidate_id_b", "candidate_id", "group_id")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = map_to_list(table(spark, sf_dir, "alert_candidate"), "delivery_seq", F.col("venue.raw"), table(spark, sf_dir, "venue_list"), key="venue_id", name="name", affix="publisher")
+    return found.select("delivery_seq", "venue_id")
+
+
+def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that mean no entry of the list, with how often they occur."""
+    found = map_to_list(table(spark, sf_dir, "alert_candidate"), "delivery_seq", F.col("venue.raw"), table(spark, sf_dir, "venue_list"), key="venue_id", name="name", affix="publisher")
+    return found.where("venue_id = 0").groupBy("value").agg(F.count("*").alias("n_rows"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p3_found": p3_found, "p8_ids": p8_ids}
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p8_ids": p8_ids}
 ORACLE = sql.ORACLE
