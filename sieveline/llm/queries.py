@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sieveline.llm import sql
 from sieveline.llm.canonical import map_to_list
 from sieveline.llm.components import components
+from sieveline.llm.survivor import merged, survivors
 from sieveline.llm.tokenizer import encode_corpus
 from sieveline.llm.truncation import truncated, truncation_report
 from sieveline.runtime import table
@@ -38,9 +39,18 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("venue_id = 0").groupBy("value").agg(F.count("*").alias("n_rows"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survivors(table(spark, sf_dir, "duplicate_group"), table(spark, sf_dir, "alert_candidate"), table(spark, sf_dir, "venue_list"), group="group_id", seq="delivery_seq")
+
+
+def p7_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving record of each group."""
+    return merged(table(spark, sf_dir, "duplicate_group"), table(spark, sf_dir, "alert_candidate"), table(spark, sf_dir, "venue_list"), group="group_id", seq="delivery_seq")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p8_ids": p8_ids}
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids}
 ORACLE = sql.ORACLE
