@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from sieveline.llm import sql
 from sieveline.llm.canonical import map_to_list
 from sieveline.llm.components import components
+from sieveline.llm.names import linked_names
 from sieveline.llm.survivor import merged, survivors
 from sieveline.llm.tokenizer import encode_corpus
 from sieveline.llm.truncation import truncated, truncation_report
 from sieveline.runtime import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_names(table(spark, sf_dir, "optical_zo"), "name")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = truncated(table(spark, sf_dir, "alert_candidate"), seq="delivery_seq", source="source.sender")
     return found.where("lost").select(F.col("seq").alias("delivery_seq"), "field").distinct()
@@ -52,5 +57,5 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids}
 ORACLE = sql.ORACLE
