@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sieveline.llm import sql
 from sieveline.llm.canonical import map_to_list
 from sieveline.llm.components import components
+from sieveline.llm.history import repeated_works
 from sieveline.llm.names import linked_names
 from sieveline.llm.survivor import merged, survivors
 from sieveline.llm.tokenizer import encode_corpus
@@ -44,6 +45,11 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("venue_id = 0").groupBy("value").agg(F.count("*").alias("n_rows"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_works(table(spark, sf_dir, "openalex_candidate"), key="candidate_id", title="normalized_title", year="year", batch="batch_no", seq="registry_seq")
+    return found.select(F.least("candidate_id", "accepted").alias("candidate_id_a"), F.greatest("candidate_id", "accepted").alias("candidate_id_b")).distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors(table(spark, sf_dir, "duplicate_group"), table(spark, sf_dir, "alert_candidate"), table(spark, sf_dir, "venue_list"), group="group_id", seq="delivery_seq")
 
@@ -57,5 +63,5 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p5_found": p5_found, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids}
 ORACLE = sql.ORACLE
