@@ -9,6 +9,7 @@ from sieveline.llm import sql
 from sieveline.llm.canonical import map_to_list
 from sieveline.llm.components import components
 from sieveline.llm.history import repeated_works
+from sieveline.llm.leakage import leaked
 from sieveline.llm.names import linked_names
 from sieveline.llm.survivor import merged, survivors
 from sieveline.llm.tokenizer import encode_corpus
@@ -63,5 +64,10 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p5_found": p5_found, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"), key="doc_id", text="text", item_key="item_id", item_text="text")
+    return found.select("doc_id", "item_id").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p5_found": p5_found, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids, "p9_found": p9_found}
 ORACLE = sql.ORACLE
