@@ -11,6 +11,7 @@ from sieveline.llm.components import components
 from sieveline.llm.history import repeated_works
 from sieveline.llm.leakage import leaked
 from sieveline.llm.names import linked_names
+from sieveline.llm.reading import reading_levels
 from sieveline.llm.survivor import merged, survivors
 from sieveline.llm.tokenizer import encode_corpus
 from sieveline.llm.truncation import truncated, truncation_report
@@ -69,5 +70,9 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p5_found": p5_found, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_label"), key="doc_id", text="text", level="reading_level").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p5_found": p5_found, "p7_found": p7_found, "p7_merged": p7_merged, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLE = sql.ORACLE
