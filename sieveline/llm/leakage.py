@@ -182,6 +182,14 @@ def misspelt(a: str, b: str) -> bool:
     return n >= 3 and abs(len(a) - len(b)) <= 2 and near(a, b, 1 if n < 6 else 2)
 
 
+@lru_cache(500_000)
+def letters(word: str) -> int:
+    mask = 0
+    for c in word:
+        mask |= 1 << (ord(c) % 61)
+    return mask
+
+
 class Items:
     """The evaluation items, their words and windows."""
 
@@ -201,6 +209,13 @@ class Items:
             h, first_at = np.unique(hashed[k][a : a + WINDOW], return_index=True)
             w = self.weights[k][a : a + WINDOW][first_at]
             self.parts.append((h, w / max(w.sum(), 1e-9)))
+        #: Of each item, its distinct words with their letters as bits and their places, for misspelt words.
+        self.spelled: list[list[tuple[str, int, list[int]]]] = []
+        for ws in self.words:
+            places: dict[str, list[int]] = {}
+            for at, w in enumerate(ws):
+                places.setdefault(w, []).append(at)
+            self.spelled.append([(w, letters(w), at) for w, at in places.items()])
         self.vocabulary: dict[int, str] = {int(h): w for hs, ws in zip(hashed, self.words) for h, w in zip(hs, ws)}
 
     def candidates(self, t: np.ndarray, ends: np.ndarray, similar: float = SIMILAR) -> dict[tuple[int, int], list[tuple[float, int]]]:
@@ -227,18 +242,23 @@ class Items:
             for i in np.nonzero(~same.any(1))[0]:
                 x = words.get(int(t[i]))
                 if x and int(t[i]) not in self.vocabulary:
-                    for j in range(n):
-                        if misspelt(x, self.words[k][j]):
-                            same[i, j] = True
+                    mask = letters(x)
+                    for y, bits, at in self.spelled[k]:
+                        # An edit changes at most two letters of the sets of letters.
+                        if (mask ^ bits).bit_count() <= 4 and misspelt(x, y):
+                            same[i, at] = True
         gap = 0.45 * w.mean()
         score = np.where(same, w[None, :], -np.maximum(0.6 * w[None, :], gap))
         ramp = gap * np.arange(n + 1)
         table = np.zeros((m + 1, n + 1))
         for i in range(m):
-            row = np.zeros(n + 1)
-            np.maximum(table[i, :-1] + score[i], 0, out=row[1:])
-            np.maximum(row, table[i] - gap, out=row)
-            table[i + 1] = np.maximum.accumulate(row + ramp) - ramp
+            above, row = table[i], table[i + 1]
+            np.add(above[:-1], score[i], out=row[1:])
+            np.maximum(row, above - gap, out=row)
+            np.maximum(row, 0, out=row)
+            row += ramp
+            np.maximum.accumulate(row, out=row)
+            row -= ramp
         i, j = np.unravel_index(table.argmax(), table.shape)
         end, hits, weight = j, 0, 0.0
         while i > 0 and j > 0 and table[i, j] > 1e-9:
