@@ -12,15 +12,16 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(x: pd.Series) -> pd.Series:
     """Compatibility form; the one Unicode normalisation that has no built-in."""
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescaped(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else html.unescape(s))
 
@@ -43,7 +44,7 @@ def _plain(s: str | None) -> str | None:
     return " ".join(" ".join(p.parts).split()) or None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def plain_text(x: pd.Series) -> pd.Series:
     """Markup and entities removed, white space collapsed, empty to null."""
     return x.map(_plain)
@@ -124,7 +125,7 @@ def host_in(h: Column, suffixes: list[str]) -> Column:
 
 
 def last_segment(x: Column) -> Column:
-    return F.element_at(F.split(F.rtrim(F.lit("/"), x), "/"), -1)
+    return F.element_at(F.split(F.rtrim(x, F.lit("/")), "/"), -1)
 
 
 def author_key(name: Column) -> Column:

@@ -32,7 +32,7 @@ def partial_date(year: Column, month: Column, day: Column) -> Column:
 def age_days(date: Column, year: Column, now: Column) -> Column:
     """Whole days since a full date, else since the first day of the year; not below 0; null without either."""
     at = F.coalesce(F.when(date.rlike(r"^\d{4}-\d{2}-\d{2}"), instant(F.substring(date, 1, 10))), F.try_to_timestamp(F.concat(year.cast("string"), F.lit("-01-01")), F.lit("yyyy-MM-dd")))
-    return F.greatest(F.lit(0), F.floor((F.unix_timestamp(now) - F.unix_timestamp(at)) / 86400)).cast("int")
+    return F.when(at.isNotNull(), F.greatest(F.lit(0), F.floor((F.unix_timestamp(now) - F.unix_timestamp(at)) / 86400))).cast("int")
 
 
 def local_day(at: Column, hours: int = 8) -> Column:

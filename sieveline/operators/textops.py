@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 
@@ -34,7 +35,7 @@ def inverted_index(rows: DataFrame, keys: Column, id_: str) -> DataFrame:
     return rows.select(F.col(id_).alias("id"), F.explode(keys).alias("key")).groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("ids"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching blocks; 0 where either is blank."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)])
