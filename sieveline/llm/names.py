@@ -26,7 +26,8 @@ from pyspark.sql.window import Window as W
 from sieveline.llm.components import components
 from sieveline.runtime import stored
 
-Q = 3
+#: Length of the grams, and how many rare ones two tokens must share to be compared.
+Q, SHARED = 3, 3
 #: Least weighted similarity of two names whose family tokens are similar.
 LEAST_SIMILARITY = 0.8
 #: How many times as frequent a given name must be as the next that fits an initial.
@@ -165,27 +166,28 @@ def edits(a: Column, b: Column) -> Column:
 
 
 def most_edits(n: Column) -> Column:
-    return F.when(n < 5, 0).when(n < 7, 1).when(n < 12, 2).otherwise(3)
+    return F.when(n < 5, 0).when(n < 7, 1).otherwise(2)
 
 
 def similar_tokens(tokens: DataFrame, token: str = "own") -> DataFrame:
     """Pairs a < b of distinct tokens within the edit distance that their length allows, by a prefix-filtered join on q-grams.
 
-    A token of n letters has n + Q - 1 padded grams, of which d edits change at most d * Q (a transposition is two edits, Q + 1 of them
-    when its letters are neighbours); so tokens within d share one of their d * Q + 1 rarest grams.
+    A token of n letters has at most n + Q - 1 padded grams, and an edit changes at most Q of them; so tokens within d edits share SHARED of
+    their d * Q + SHARED rarest grams, and the join is on combinations of so many grams of that prefix, which few tokens have in common.
     """
     n = F.length(token)
     padded = F.concat(F.lit("^" * (Q - 1)), F.col(token), F.lit("$" * (Q - 1)))
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), n + Q - 1), lambda i: F.substring(padded, i, F.lit(Q))))
     one = stored(tokens.select(token).where(n >= 5).distinct().select(F.col(token).alias("token"), n.alias("n"), F.explode(grams).alias("gram")), "grams")
     often = one.groupBy("gram").agg(F.count("*").alias("df"))
-    order = W.partitionBy("token").orderBy("df", "gram")
-    prefix = one.join(often, "gram").withColumn("at", F.row_number().over(order)).where(F.col("at") <= most_edits(F.col("n")) * Q + 1)
-    a = prefix.select("gram", F.col("token").alias("a"), F.col("n").alias("na"))
-    b = prefix.select("gram", F.col("token").alias("b"), F.col("n").alias("nb"))
-    pairs = a.join(b, "gram").where((F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= most_edits(F.least("na", "nb"))))
-    least = F.least("na", "nb")
-    return pairs.select("a", "b", least.alias("n")).distinct().where(edits(F.col("a"), F.col("b")) <= most_edits(F.col("n"))).select("a", "b")
+    rarest = one.join(often, "gram").groupBy("token", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    rarest = rarest.select("token", "n", F.array_sort(F.slice("g.gram", F.lit(1), most_edits(F.col("n")) * Q + SHARED)).alias("g"))
+    combined = F.expr("flatten(transform(sequence(0, size(g) - 3), i -> flatten(transform(sequence(i + 1, size(g) - 2), j -> transform(sequence(j + 1, size(g) - 1), k -> xxhash64(g[i], g[j], g[k]))))))")
+    keys = stored(rarest.where(F.size("g") >= SHARED).select("token", "n", F.explode(combined).alias("key")), "keys")
+    a = keys.select("key", F.col("token").alias("a"), F.col("n").alias("na"))
+    b = keys.select("key", F.col("token").alias("b"), F.col("n").alias("nb"))
+    pairs = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= most_edits(F.least("na", "nb"))))
+    return pairs.select("a", "b", F.least("na", "nb").alias("n")).distinct().where(edits(F.col("a"), F.col("b")) <= most_edits(F.col("n"))).select("a", "b")
 
 
 def entities(mentions: DataFrame, name: str) -> DataFrame:
