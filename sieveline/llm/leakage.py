@@ -55,15 +55,15 @@ class Hashes(dict):
 
 
 def encoded(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Columns key, tokens: the word hashes as uint32."""
+    """Columns key, tokens (the word hashes as uint32) and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for b in batches:
             out = [np.fromiter(map(hashes.__getitem__, words_of(t)), np.uint32).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["key", "tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(1)], names=["key", "tokens", "text"])
 
-    return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key bigint, tokens binary")
+    return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key bigint, tokens binary, text string")
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 400_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
@@ -120,19 +120,19 @@ def word_vectors(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Vector of each bucket: its weight times the directions, damped by their strength."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted = test_matrix() * idf[:, None]
+        weighted = np.append(test_matrix() * idf[:, None], np.zeros((1, RANK + EXTRA), np.float32), axis=0)
+        square = np.append(idf**2, np.float32(0))
         total = np.zeros((BUCKETS, RANK + EXTRA), np.float32)
         n = 0
         for keys, t, ends in batches_of(batches, most=100_000):
             n += len(keys)
             bucket = (t % BUCKETS).astype(np.int64)
-            # Passages: so many words each, none over the end of its document.
-            starts = np.concatenate([np.arange(a, b, PASSAGE) for a, b in zip(ends[:-1], ends[1:])]) if len(bucket) else np.zeros(0, np.int64)
-            if not len(starts):
+            if not len(bucket):
                 continue
-            rows = np.add.reduceat(weighted[bucket], starts, axis=0)
-            length = np.sqrt(np.add.reduceat(idf[bucket] ** 2, starts))
-            rows /= np.maximum(length, 1e-6)[:, None] ** 2
+            # Passages: so many words each, none over the end of its document.
+            _, starts, passages = padded(bucket, ends, PASSAGE)
+            rows = np.concatenate([np.take(weighted, p.ravel(), axis=0).reshape(len(p), PASSAGE, -1).sum(1) for p in np.array_split(passages, -(-len(passages) // 100))])
+            rows /= np.maximum(square[passages].sum(1), 1e-12)[:, None]
             back = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(bucket))))
             order = np.argsort(bucket, kind="stable")
             own, first = np.unique(bucket[order], return_index=True)
@@ -148,7 +148,7 @@ def word_vectors(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
     root = np.linalg.cholesky((core + core.T) / 2 + shift * np.eye(len(core)))
     u, s, _ = np.linalg.svd(np.linalg.solve(root, y.T).T, full_matrices=False)
     damped = u[:, :RANK] / np.sqrt(np.maximum(s[:RANK], 1e-9))
-    return (damped / np.abs(damped).max() * idf[:, None]).astype(np.float32)
+    return np.append(damped / max(np.abs(damped).max(), 1e-12) * idf[:, None], np.zeros((1, RANK)), axis=0).astype(np.float32)
 
 
 def windows(start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,22 +157,29 @@ def windows(start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     return at, np.minimum(at + WINDOW, end)
 
 
-def window_vectors(v: np.ndarray, bucket: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, unit vector) of each window: blocks of STEP words are summed once, and each window is two of them."""
-    count = -(-np.diff(ends) // STEP)
+def padded(bucket: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, buckets) of each block of size words; the last of a text is filled up with BUCKETS, the bucket of nothing."""
+    count = -(-np.diff(ends) // size)
     text = np.repeat(np.arange(len(count)), count)
     inside = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    first = ends[:-1][text] + inside * STEP
+    first = ends[:-1][text] + inside * size
+    places = first[:, None] + np.arange(size)[None, :]
+    return text, first, np.where(places < ends[1:][text][:, None], np.append(bucket, BUCKETS)[np.minimum(places, len(bucket))], BUCKETS)
+
+
+def window_vectors(v: np.ndarray, bucket: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, unit vector) of each window: blocks of STEP words are summed once, and each window is two of them."""
+    text, first, blocks = padded(bucket, ends, STEP)
     if not len(first):
         return text, first, np.zeros((0, RANK), np.float32)
-    block = np.add.reduceat(v[bucket], first, axis=0)
+    block = np.take(v, blocks.ravel(), axis=0).reshape(len(blocks), STEP, -1).sum(1)
     following = np.zeros_like(block)
     joined = text[1:] == text[:-1]
     following[:-1][joined] = block[1:][joined]
     block += following
     block /= np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-9)
     # The last block alone is a window only of texts of one block.
-    keep = (inside == 0) | (np.append(joined, False))
+    keep = (first == ends[:-1][text]) | np.append(joined, False)
     return text[keep], first[keep], block[keep]
 
 
@@ -280,7 +287,8 @@ def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key:
     rows = items.select(F.col(item_key).cast("bigint").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null").distinct().limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
         raise ValueError(f"there are more than {MOST_ITEMS} items; compare them in parts")
-    tokens = stored(encoded(docs.where(f"{text} is not null"), key, text), "tokens")
+    words = stored(encoded(docs.where(f"{text} is not null"), key, text), "tokens")
+    tokens = words.select("key", "tokens")
     df, n = document_counts(tokens)
     idf = np.log((n + 1) / (df + 1)).astype(np.float32) + 0.05
     part = min(1.0, SAMPLE / max(n, 1))
@@ -297,10 +305,10 @@ def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key:
             for keys, t, ends, texts in with_texts(b):
                 for (d, k), hits in it.candidates(t, ends).items():
                     s, e = int(ends[d]), int(ends[d + 1])
-                    words = {int(h): w for h, w in zip(t[s:e], words_of(texts[d]))}
+                    spelled = {int(h): w for h, w in zip(t[s:e], words_of(texts[d].as_py()))}
                     best = (0, 0.0)
                     for a, z in spans(hits, s, e, len(it.words[k])):
-                        got = it.aligned(k, t[a:z], words)
+                        got = it.aligned(k, t[a:z], spelled)
                         if got[0] >= LEAST_WORDS and got[1] >= LEAST_SHARE:
                             best = max(best, got)
                     if best[0]:
@@ -308,16 +316,15 @@ def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key:
                             column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.float64()))], names=[key, item_key, "words", "share"])
 
-    hashed = docs.where(f"{text} is not null").select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    return hashed.mapInArrow(run, f"`{key}` bigint, `{item_key}` bigint, words int, share double")
+    return words.mapInArrow(run, f"`{key}` bigint, `{item_key}` bigint, words int, share double")
 
 
-def with_texts(b: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray, list[str]]]:
-    hashes = Hashes()
-    keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-    for at in range(0, len(keys), 25):
-        parts = [np.fromiter(map(hashes.__getitem__, words_of(x)), np.uint32) for x in texts[at : at + 25]]
-        yield keys[at : at + 25], np.concatenate(parts), np.cumsum([0, *map(len, parts)]), texts[at : at + 25]
+def with_texts(b: pa.RecordBatch, most: int = 25) -> Iterator[tuple[list, np.ndarray, np.ndarray, list[str]]]:
+    """(keys, words joined, where each text's begin, texts) of a few documents at a time, so that their vectors stay in the processor's cache."""
+    keys = b.column(0).to_pylist()
+    for at in range(0, len(keys), most):
+        parts = b.column(1).slice(at, most).to_pylist()
+        yield keys[at : at + most], np.frombuffer(b"".join(parts), np.uint32), np.cumsum([0, *(len(p) // 4 for p in parts)]), b.column(2).slice(at, most)
 
 
 def spans(hits: list[tuple[float, int]], start: int, end: int, length: int) -> list[tuple[int, int]]:
