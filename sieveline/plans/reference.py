@@ -545,3 +545,45 @@ def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
     a = blocked.where("batch_no > 0").select(F.col("candidate_id").alias("later"), F.col("normalized_title").alias("ta"), "year", "block")
     b = blocked.where("batch_no = 0").select(F.col("candidate_id").alias("candidate"), F.col("normalized_title").alias("tb"), "year", "block")
     return TX.best_match(a.join(b, ["block", "year"]), "later", TX.similarity(F.col("ta"), F.col("tb")), F.lit(0.0), 0.9, 0.02).select("later", "candidate", F.round("ratio", 6).alias("ratio"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_dedup_available_now(spark: SparkSession, d: str) -> DataFrame:
+    """The events delivered twice, as files of two batches, through a stream that keeps the first of each."""
+    import uuid
+
+    from sieveline.runtime import shared_dir
+    from sieveline.streaming.events import deduplicated, run_available
+
+    path = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    e.write.parquet(path)
+    e.where("event_id % 20 = 0").write.mode("append").parquet(path)
+    stream = spark.readStream.schema(e.schema).parquet(path)
+    return run_available(deduplicated(stream, "event_id", "ts", "3650 days"), spark).select("event_id", "user_id", "event_type")
+
+
+@query()
+def greedy_first_accept(spark: SparkSession, d: str) -> DataFrame:
+    """Later API records against accepted history by DOI, work, title and fingerprint, in registry order."""
+    from sieveline.operators.discover import greedy_accept
+
+    o = table(spark, d, "openalex_candidate")
+    keys = F.array_compact(F.array(F.concat(F.lit("doi:"), X.doi_key(F.col("identifiers.doi.value"))), F.concat(F.lit("title:"), F.col("normalized_title")), F.concat(F.lit("fp:"), F.col("content_fingerprint"))))
+    works = o.select("registry_seq", "batch_no", keys.alias("keys"), F.coalesce(F.col("year") >= 2015, F.lit(False)).alias("wanted"))
+    history = works.where("batch_no = 0").select(F.explode("keys").alias("key"))
+    return greedy_accept(works.where("batch_no > 0"), history, "registry_seq")
+
+
+@query("SELECT doc_id, sha256(concat('{\"doc_id\":', doc_id, ',\"lang\":', CASE WHEN lang IS NULL THEN 'null' ELSE concat('\"', lang, '\"') END, ',\"source\":\"', source, '\"}')) AS digest FROM documents")
+def canonical_record_hash(spark: SparkSession, d: str) -> DataFrame:
+    from sieveline.sources.files import canonical_json
+
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    return docs.select("doc_id", F.sha2(canonical_json(docs), 256).alias("digest"))
+
+
+@query()
+def html_plain_text(spark: SparkSession, d: str) -> DataFrame:
+    """Snippets with markup as plain text."""
+    return table(spark, d, "alert_candidate").where(F.col("snippet").rlike("[<&]")).select("delivery_seq", X.plain_text(F.col("snippet")).alias("text"))
