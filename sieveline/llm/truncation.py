@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.llm.canonical import fold
+from sieveline.llm.names import near
 from sieveline.runtime import stored
 
 FIELDS = ("title", "snippet", "raw_metadata_line")
@@ -95,13 +97,15 @@ def judge(field: str, value: str | None, venue: str | None, ends: set[str], keyw
             return STRONG
         words = WORD.findall(text.rstrip(")]\"'”’.?! ").lower())
         last = words[-1] if words else ""
-        if last in ends or len(last) > 40 and any(last.endswith(x) for x in ends):
+        if last in ends or len(last) > 18 and any(last.endswith(x) for x in ends):  # titles whose spaces are lost
             return OK
         return WEAK
     if YEAR_END.search(text):
         return OK
-    squeezed = " ".join((venue or "").split())
-    return OK if squeezed and not ELLIPSIS.search(squeezed) and " ".join(text.split()).endswith(squeezed) else STRONG if open_at_end(text) else WEAK
+    shown, full = fold(text), fold(venue or "")
+    if full and not ELLIPSIS.search((venue or "").rstrip()) and (shown.endswith(full) or near(shown[-len(full) :], full, 1)):
+        return OK
+    return STRONG if open_at_end(text) else WEAK
 
 
 def ending_words(rows: DataFrame, field: str) -> set[str]:
