@@ -18,11 +18,17 @@ def zero_filled(rows: DataFrame, grid: dict[str, Sequence], name: str = "n") ->
     return out.join(counted, list(grid), "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("bigint"))
 
 
-def digest(rows: DataFrame, group: str, line: Column, order: str) -> DataFrame:
-    """SHA-256 of each group's line digests in order, and their number. Lines are reduced to digests before they move."""
-    lines = rows.select(group, F.col(order).alias("_at"), F.sha2(line, 256).alias("_d"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_d"))), lambda s: s["_d"]), "\n")
-    return lines.groupBy(group).agg(F.sha2(joined, 256).alias("digest"), F.count("*").alias("n_lines"))
+def digest(rows: DataFrame, group: str, line: Column, order: str, block: int = 4096, levels: int = 2) -> DataFrame:
+    """Tree digest of each group's lines in order of an integer column, and their number.
+
+    Digests of block neighbouring numbers are joined by line feeds and hashed, level by level, so that no task holds more than block of them
+    but the last, which has one for each block to the power of levels.
+    """
+    parts = rows.select(group, F.floor(F.col(order) / block).cast("bigint").alias("_block"), F.col(order).cast("bigint").alias("_at"), F.sha2(line, 256).alias("_d"), F.lit(1).cast("bigint").alias("_n"))
+    joined = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_d"))), lambda s: s["_d"]), "\n"), 256)
+    for _ in range(levels):
+        parts = parts.groupBy(group, "_block").agg(joined.alias("_d"), F.sum("_n").alias("_n")).select(group, F.floor(F.col("_block") / block).cast("bigint").alias("_next"), F.col("_block").alias("_at"), "_d", "_n").withColumnRenamed("_next", "_block")
+    return parts.groupBy(group).agg(joined.alias("digest"), F.sum("_n").alias("n_lines"))
 
 
 def dispositions(rows: DataFrame, group: str, disposition: Column, names: Sequence[str]) -> DataFrame:

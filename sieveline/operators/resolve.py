@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.operators.joins import salted_lookup
 from sieveline.runtime import discard, stored
 
 
@@ -25,11 +26,11 @@ def entities(keyed: DataFrame) -> DataFrame:
     state = stored(links.select("seq").distinct().select("seq", F.col("seq").alias("entity")), "entities")
     while True:
         at_key = links.join(state, "seq").groupBy("key").agg(F.min("entity").alias("least"))
-        heard = links.join(at_key, "key").groupBy("seq").agg(F.min("least").alias("least"))
+        heard = salted_lookup(links, at_key, "key", "seq").groupBy("seq").agg(F.min("least").alias("least"))
         near = stored(state.join(heard, "seq").select("seq", F.col("entity").alias("was"), F.least("entity", "least").alias("entity")), "near")
         # A label may itself have moved on; following it halves what is left of a chain.
         moved = near.select(F.col("seq").alias("entity"), F.col("entity").alias("far")).join(near.select("entity").distinct(), "entity").where("far < entity")
-        before, state = state, stored(near.join(moved, "entity", "left").select("seq", F.least("entity", "far").alias("entity"), (F.least("entity", "far") < F.col("was")).alias("changed")), "entities")
+        before, state = state, stored(salted_lookup(near, moved, "entity", "seq", "left").select("seq", F.least("entity", "far").alias("entity"), (F.least("entity", "far") < F.col("was")).alias("changed")), "entities")
         discard(before), discard(near)
         if not state.where("changed").take(1):
             return state.select("seq", "entity")

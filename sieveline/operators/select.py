@@ -32,8 +32,8 @@ def round_robin(rows: DataFrame, group: str, order: Sequence[Column], most: int)
     return ranked.orderBy("turn", group).limit(most)
 
 
-def first_of(rows: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
-    """First row of each key; rows without key are all kept."""
-    n = F.row_number().over(W.partitionBy(F.col("_key")).orderBy(*order))
+def first_of(rows: DataFrame, key: Column, order: str) -> DataFrame:
+    """First row of each key by a unique order column; rows without key are all kept. Minima are combined before the shuffle, and rows are picked by the unique column."""
     keyed = rows.withColumn("_key", key)
-    return keyed.where("_key is not null").withColumn("_n", n).where("_n = 1").drop("_n").unionByName(keyed.where("_key is null")).drop("_key")
+    first = keyed.where("_key is not null").groupBy("_key").agg(F.min(order).alias(order)).select(order)
+    return keyed.where("_key is not null").join(first, order, "left_semi").unionByName(keyed.where("_key is null")).drop("_key")

@@ -11,12 +11,17 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 
-def islands(rows: DataFrame, group: str, start: str, end: str) -> DataFrame:
-    """Overlapping or touching intervals of a group merged."""
-    w = W.partitionBy(group).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
-    marked = rows.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)).withColumn("_island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return marked.groupBy(group, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop("_island")
+def islands(rows: DataFrame, group: str, start: str, end: str, width: int = 7 * 86400) -> DataFrame:
+    """Overlapping or touching intervals of a group merged: first within stretches of start of the given width, so that a hot group is spread over tasks, then what is left across them."""
+
+    def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
+        w = W.partitionBy(*keys).orderBy(start, end)
+        reach = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
+        marked = parts.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)).withColumn("_island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+        return marked.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_island")
+
+    near = rows.select(group, start, end, F.lit(1).cast("bigint").alias("n"), F.floor(F.col(start) / width).alias("_stretch"))
+    return merged(merged(near, [group, "_stretch"]).drop("_stretch"), [group])
 
 
 def within_budget(rows: DataFrame, group: str, order: str, text: str, budget: int, gap: int = 2) -> DataFrame:
@@ -30,9 +35,10 @@ def evidence_sentences(sentences: Column, pattern: str) -> Column:
     return F.array_distinct(F.filter(sentences, lambda s: s.rlike(f"(?i){pattern}")))
 
 
-def inverted_index(rows: DataFrame, keys: Column, id_: str) -> DataFrame:
-    """Each key with the sorted ids of its rows."""
-    return rows.select(F.col(id_).alias("id"), F.explode(keys).alias("key")).groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+def inverted_index(rows: DataFrame, keys: Column, id_: str, block: int = 65_536) -> DataFrame:
+    """Each key with the sorted ids of its rows, in blocks of neighbouring ids, so that a frequent key is many rows of bounded size."""
+    each = rows.select(F.col(id_).alias("id"), F.explode(keys).alias("key"), F.floor(F.col(id_) / block).cast("bigint").alias("block"))
+    return each.groupBy("key", "block").agg(F.array_sort(F.collect_set("id")).alias("ids"))
 
 
 @F.pandas_udf(T.DoubleType())

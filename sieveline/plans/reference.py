@@ -276,7 +276,7 @@ def round_robin_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id FROM (SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1 OR text IS NULL")
 def dedup_first_occurrence(spark: SparkSession, d: str) -> DataFrame:
-    return SE.first_of(table(spark, d, "documents").select("doc_id", "text"), F.md5("text"), [F.col("doc_id")]).select("doc_id")
+    return SE.first_of(table(spark, d, "documents").select("doc_id", "text"), F.md5("text"), "doc_id").select("doc_id")
 
 
 # ---- joins and counts --------------------------------------------------------------------------------------------
@@ -349,7 +349,12 @@ def disposition_counters(spark: SparkSession, d: str) -> DataFrame:
     return M.dispositions(docs.join(first, "doc_id", "left"), "source", what, ["invalid", "duplicate", "filtered", "accepted"])
 
 
-@query("SELECT source, sha256(string_agg(d, chr(10) ORDER BY doc_id)) AS digest, count(*) AS n_lines FROM (SELECT doc_id, source, sha256(concat(CAST(doc_id AS VARCHAR), '|', coalesce(text, ''))) AS d FROM documents) GROUP BY 1")
+@query(
+    """WITH l AS (SELECT doc_id, source, sha256(concat(CAST(doc_id AS VARCHAR), '|', coalesce(text, ''))) AS d FROM documents),
+    a AS (SELECT source, doc_id // 4096 AS b, sha256(string_agg(d, chr(10) ORDER BY doc_id)) AS d, count(*) AS n FROM l GROUP BY 1, 2),
+    c AS (SELECT source, b // 4096 AS c, sha256(string_agg(d, chr(10) ORDER BY b)) AS d, sum(n) AS n FROM a GROUP BY 1, 2)
+    SELECT source, sha256(string_agg(d, chr(10) ORDER BY c)) AS digest, CAST(sum(n) AS BIGINT) AS n_lines FROM c GROUP BY 1"""
+)
 def artifact_digest(spark: SparkSession, d: str) -> DataFrame:
     return M.digest(table(spark, d, "documents"), "source", F.concat(F.col("doc_id").cast("string"), F.lit("|"), F.coalesce("text", F.lit(""))), "doc_id")
 
@@ -522,10 +527,10 @@ def json_leaf_walk(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", "path", "value")
 
 
-@query("SELECT k AS key, array_to_string(list_sort(list(DISTINCT registry_seq)), ',') AS ids FROM (SELECT registry_seq, unnest(string_split(normalized_title, ' ')) AS k FROM openalex_candidate) WHERE length(k) >= 14 GROUP BY 1")
+@query("SELECT k AS key, registry_seq // 65536 AS block, array_to_string(list_sort(list(DISTINCT registry_seq)), ',') AS ids FROM (SELECT registry_seq, unnest(string_split(normalized_title, ' ')) AS k FROM openalex_candidate) WHERE length(k) >= 14 GROUP BY 1, 2")
 def inverted_index(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "openalex_candidate")
-    return TX.inverted_index(o, F.filter(F.split("normalized_title", " "), lambda w: F.length(w) >= 14), "registry_seq").select("key", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+    return TX.inverted_index(o, F.filter(F.split("normalized_title", " "), lambda w: F.length(w) >= 14), "registry_seq").select("key", "block", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
 
 
 @query("SELECT delivery_seq, array_to_string(list_sort(list_filter([CASE WHEN year >= 2024 THEN 'recent' END, CASE WHEN regexp_matches(title, '(?i)hardware|circuit|chip') THEN 'hardware' END, CASE WHEN len(authors) >= 4 THEN 'team' END, CASE WHEN snippet IS NULL THEN 'bare' END], lambda t: t IS NOT NULL)), ',') AS tags FROM alert_candidate")

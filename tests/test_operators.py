@@ -31,7 +31,7 @@ def test_selection(spark):
     assert [(r["rank"], r.status) for r in sorted(top, key=lambda r: r["rank"])] == [(1, "slot"), (2, "slot"), (3, "queue"), (4, "queue")]
     assert select.carried_forward(df, df.where("id < 29"), "id", F.lit(True)).count() == 1
     assert [(r.turn, r.g) for r in select.round_robin(df, "g", [F.col("id")], 4).collect()] == [(1, 0), (1, 1), (1, 2), (2, 0)]
-    assert select.first_of(spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "id int, k string"), F.col("k"), [F.col("id")]).count() == 3
+    assert select.first_of(spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "id int, k string"), F.col("k"), "id").count() == 3
 
 
 def test_entities_and_survivors(spark):
@@ -63,6 +63,7 @@ def test_manifest(spark):
 def test_texts(spark):
     spans = spark.createDataFrame([(1, 0, 5), (1, 5, 7), (1, 9, 10), (1, 1, 2), (2, 0, 1)], "g int, s int, e int")
     assert sorted((r.g, r.s, r.e, r.n) for r in textops.islands(spans, "g", "s", "e").collect()) == [(1, 0, 7, 3), (1, 9, 10, 1), (2, 0, 1, 1)]
+    assert sorted((r.g, r.s, r.e, r.n) for r in textops.islands(spans, "g", "s", "e", width=2).collect()) == [(1, 0, 7, 3), (1, 9, 10, 1), (2, 0, 1, 1)]
     texts = spark.createDataFrame([(1, 1, "aaaa"), (1, 2, "bbbb"), (1, 3, "cc")], "g int, o int, t string")
     assert [(r.o, r.t) for r in textops.within_budget(texts, "g", "o", "t", 9).orderBy("o").collect()] == [(1, "aaaa"), (2, "bbb")]
     c = spark.createDataFrame([(1, "a", "abcd", "abcd"), (1, "b", "abcd", "abxx"), (2, "a", "abcd", "abcd"), (2, "b", "abcd", "abcd"), (3, "a", "q", "")], "k int, candidate string, x string, y string")
