@@ -592,3 +592,26 @@ def canonical_record_hash(spark: SparkSession, d: str) -> DataFrame:
 def html_plain_text(spark: SparkSession, d: str) -> DataFrame:
     """Snippets with markup as plain text."""
     return table(spark, d, "alert_candidate").where(F.col("snippet").rlike("[<&]")).select("delivery_seq", X.plain_text(F.col("snippet")).alias("text"))
+
+
+@query(
+    r"""WITH h AS (SELECT doc_id, length(text) AS n, list_distinct(list_filter(list_transform(generate_series(1, length(text)), lambda i: CASE WHEN lower(substr(text, i, 6)) = 'sensor' THEN i - 1 END), lambda i: i IS NOT NULL)) AS hits FROM documents WHERE length(text) < 1500),
+    s AS (SELECT doc_id, greatest(x - 100, 0) AS s, least(x + 200, n) AS e FROM (SELECT doc_id, n, unnest(hits) AS x FROM h)),
+    m AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s),
+    g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM m)
+    SELECT doc_id, CAST(min(s) AS INTEGER) AS s, CAST(max(e) AS INTEGER) AS e FROM g GROUP BY doc_id, i"""
+)
+def keyword_windows(spark: SparkSession, d: str) -> DataFrame:
+    from sieveline.functions.documents import keyword_windows as windows
+
+    docs = table(spark, d, "documents").where("length(text) < 1500")
+    return docs.select("doc_id", F.explode(windows(F.col("text"), "sensor", 100, 200)).alias("w")).select("doc_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
+
+
+@query()
+def redacted_snippets(spark: SparkSession, d: str) -> DataFrame:
+    """Snippets whose numbers the candidate's delivery before doesn't support lose those sentences."""
+    from sieveline.functions.documents import redacted
+
+    a = table(spark, d, "alert_candidate").select("delivery_seq", "snippet", F.lag("snippet").over(W.partitionBy("candidate_id").orderBy("delivery_seq")).alias("reference"))
+    return a.where("snippet is not null and reference is not null").select("delivery_seq", redacted(F.col("snippet"), F.col("reference")).alias("text"))
