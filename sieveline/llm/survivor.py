@@ -33,7 +33,7 @@ DAMAGE = {
     "broken": re.compile("[�\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"),
     "markup": re.compile(r"</?[a-zA-Z][^<>]*>|&(?:#\d+|#x[0-9a-fA-F]+|[a-zA-Z]{2,8});|\\u[0-9a-fA-F]{4}"),
     "hidden": re.compile("[­​-‏⁠﻿‪-‮]"),
-    "joined": re.compile(r"[^\s/]{45,}"),
+    "joined": re.compile(r"[^\s/]{30,}"),
     "spaced": re.compile(r"(?:\b\w ){6,}|\s{2,}|[\xa0\t\r\n]|^\s|\s$"),
     "hyphenated": re.compile(r"\w-\s*\n\s*\w"),
     "ellipsis": re.compile(r"…|\.\.\."),
