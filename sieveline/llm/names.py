@@ -18,9 +18,11 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from sieveline.llm.components import components
@@ -28,6 +30,8 @@ from sieveline.runtime import stored
 
 #: Length of the grams, and how many rare ones two tokens must share to be compared.
 Q, SHARED = 3, 3
+#: Letters from which a transposition counts once also beside another edit.
+LONG = 12
 #: Least weighted similarity of two names whose family tokens are similar.
 LEAST_SIMILARITY = 0.8
 #: How many times as frequent a given name must be as the next that fits an initial.
@@ -169,11 +173,20 @@ def most_edits(n: Column) -> Column:
     return F.when(n < 5, 0).when(n < 7, 1).otherwise(2)
 
 
+@F.pandas_udf(T.BooleanType())
+def aligned(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether at most two edits apart, a transposition of neighbours being one; False where null."""
+    return pd.Series([x is not None and near(x, y, 2) for x, y in zip(a, b)])
+
+
 def similar_tokens(tokens: DataFrame, token: str = "own") -> DataFrame:
     """Pairs a < b of distinct tokens within the edit distance that their length allows, by a prefix-filtered join on q-grams.
 
-    A token of n letters has at most n + Q - 1 padded grams, and an edit changes at most Q of them; so tokens within d edits share SHARED of
-    their d * Q + SHARED rarest grams, and the join is on combinations of so many grams of that prefix, which few tokens have in common.
+    From LONG letters on a transposition of neighbours is one edit also beside others (up to Levenshtein distance 4). Three separate edits make
+    another family: where no nearer spelling bridges them, both are names of their own.
+
+    A token of n letters has at most n + Q - 1 padded grams, and an edit changes at most Q of them, a transposition Q + 1; so tokens within d edits share
+    SHARED of their d * Q (long ones: d * (Q + 1)) + SHARED rarest grams, and the join is on combinations of so many grams of that prefix, which few tokens have in common.
     """
     n = F.length(token)
     padded = F.concat(F.lit("^" * (Q - 1)), F.col(token), F.lit("$" * (Q - 1)))
@@ -181,20 +194,24 @@ def similar_tokens(tokens: DataFrame, token: str = "own") -> DataFrame:
     one = stored(tokens.select(token).where(n >= 5).distinct().select(F.col(token).alias("token"), n.alias("n"), F.explode(grams).alias("gram")), "grams")
     often = one.groupBy("gram").agg(F.count("*").alias("df"))
     rarest = one.join(often, "gram").groupBy("token", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    rarest = rarest.select("token", "n", F.array_sort(F.slice("g.gram", F.lit(1), most_edits(F.col("n")) * Q + SHARED)).alias("g"))
+    rarest = rarest.select("token", "n", F.array_sort(F.slice("g.gram", F.lit(1), most_edits(F.col("n")) * F.when(F.col("n") < LONG, Q).otherwise(Q + 1) + SHARED)).alias("g"))
     combined = F.expr("flatten(transform(sequence(0, size(g) - 3), i -> flatten(transform(sequence(i + 1, size(g) - 2), j -> transform(sequence(j + 1, size(g) - 1), k -> xxhash64(g[i], g[j], g[k]))))))")
     keys = stored(rarest.where(F.size("g") >= SHARED).select("token", "n", F.explode(combined).alias("key")), "keys")
     a = keys.select("key", F.col("token").alias("a"), F.col("n").alias("na"))
     b = keys.select("key", F.col("token").alias("b"), F.col("n").alias("nb"))
     pairs = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= most_edits(F.least("na", "nb"))))
-    return pairs.select("a", "b", F.least("na", "nb").alias("n")).distinct().where(edits(F.col("a"), F.col("b")) <= most_edits(F.col("n"))).select("a", "b")
+    near_by = pairs.select("a", "b", F.least("na", "nb").alias("n")).distinct().withColumn("d", F.levenshtein("a", "b"))
+    few = edits(F.col("a"), F.col("b")) <= most_edits(F.col("n"))
+    near_by = near_by.where(few | ((F.col("n") >= LONG) & (F.col("d") <= 4)))
+    asked = lambda c: F.when(F.col("d") > 2, F.col(c))
+    return near_by.where((F.col("d") <= 2) | aligned(asked("a"), asked("b"))).select("a", "b")
 
 
 def entities(mentions: DataFrame, name: str) -> DataFrame:
     """Columns name and entity of each distinct name that has letters."""
     names = stored(parsed(mentions.select(name), name), "names")
     tokens = names.select("own").distinct()
-    pairs = similar_tokens(tokens)
+    pairs = stored(similar_tokens(tokens), "similar")  # each round of components reads them
     family = components(pairs.unionAll(tokens.select(F.col("own").alias("a"), F.col("own").alias("b"))), "a", "b", "own", "family")
     rows = names.join(family, "own")
     # Full given names and topics, as often as they are mentioned in the family.

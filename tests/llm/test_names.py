@@ -61,5 +61,12 @@ def test_similar_tokens_equal_brute_force(spark, tokens):
     assert distinct <= got
 
 
+def test_transposition_beside_another_edit(spark):
+    # Levenshtein distances 3, 4, and 3 without a transposition: different families.
+    tokens = ["tanhnabrulpon", "tannhanbrulpon", "zelgardalprul", "zelgradaplrul", "brengortulgrur", "prennornulgrur"]
+    got = {(r.a, r.b) for r in similar_tokens(spark.createDataFrame([(t,) for t in tokens], "own string")).collect()}
+    assert got == {("tanhnabrulpon", "tannhanbrulpon"), ("zelgardalprul", "zelgradaplrul")}
+
+
 def test_near():
     assert near("abcd", "abdc", 1) and not near("abcd", "badc", 1) and near("", "", 0)
