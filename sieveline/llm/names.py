@@ -187,16 +187,20 @@ def similar_tokens(tokens: DataFrame, token: str = "own") -> DataFrame:
 
     A token of n letters has at most n + Q - 1 padded grams, and an edit changes at most Q of them, a transposition Q + 1; so tokens within d edits share
     SHARED of their d * Q (long ones: d * (Q + 1)) + SHARED rarest grams, and the join is on combinations of so many grams of that prefix, which few tokens have in common.
+    A gram that a token repeats is numbered, so that repeats count too. Tokens of one edit (under 7 letters) have too few grams for a change of
+    places, which is two edits to Levenshtein; what has the same letters is joined by those.
     """
     n = F.length(token)
     padded = F.concat(F.lit("^" * (Q - 1)), F.col(token), F.lit("$" * (Q - 1)))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), n + Q - 1), lambda i: F.substring(padded, i, F.lit(Q))))
+    plain_grams = F.transform(F.sequence(F.lit(1), n + Q - 1), lambda i: F.substring(padded, i, F.lit(Q)))
+    grams = F.transform(plain_grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(plain_grams, 1, i + 1), lambda x: x == g)).cast("string")))
     one = stored(tokens.select(token).where(n >= 5).distinct().select(F.col(token).alias("token"), n.alias("n"), F.explode(grams).alias("gram")), "grams")
     often = one.groupBy("gram").agg(F.count("*").alias("df"))
     rarest = one.join(often, "gram").groupBy("token", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
     rarest = rarest.select("token", "n", F.array_sort(F.slice("g.gram", F.lit(1), most_edits(F.col("n")) * F.when(F.col("n") < LONG, Q).otherwise(Q + 1) + SHARED)).alias("g"))
     combined = F.expr("flatten(transform(sequence(0, size(g) - 3), i -> flatten(transform(sequence(i + 1, size(g) - 2), j -> transform(sequence(j + 1, size(g) - 1), k -> xxhash64(g[i], g[j], g[k]))))))")
-    keys = stored(rarest.where(F.size("g") >= SHARED).select("token", "n", F.explode(combined).alias("key")), "keys")
+    letters = F.when(F.col("n") < 7, F.array(F.xxhash64(F.array_sort(F.split("token", ""))))).otherwise(F.array().cast("array<bigint>"))
+    keys = stored(rarest.select("token", "n", F.explode(F.concat(combined, letters)).alias("key")), "keys")
     a = keys.select("key", F.col("token").alias("a"), F.col("n").alias("na"))
     b = keys.select("key", F.col("token").alias("b"), F.col("n").alias("nb"))
     pairs = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= most_edits(F.least("na", "nb"))))

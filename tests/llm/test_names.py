@@ -68,5 +68,14 @@ def test_transposition_beside_another_edit(spark):
     assert got == {("tanhnabrulpon", "tannhanbrulpon"), ("zelgardalprul", "zelgradaplrul")}
 
 
+def test_transposition_in_short_tokens(spark):
+    # Other tokens make the grams of the swapped letters rare and those of the ends frequent; the last pairs repeat their grams.
+    ends = [f"s{x}{y}th" for x in "abcdef" for y in "uvwxyz"]
+    tokens = ["smith", "simth", "abcde", "ebcda", "banan", "bnaan", "aaaaaab", "aaaaabb", "nananas", "nanans", "marten", "matren", *ends]
+    got = {(r.a, r.b) for r in similar_tokens(spark.createDataFrame([(t,) for t in tokens], "own string")).collect()}
+    want = {("simth", "smith"), ("abcde", "ebcda"), ("banan", "bnaan"), ("aaaaaab", "aaaaabb"), ("nananas", "nanans"), ("marten", "matren")}
+    assert {(a, b) for a, b in got if not {a, b} & set(ends)} == want
+
+
 def test_near():
     assert near("abcd", "abdc", 1) and not near("abcd", "badc", 1) and near("", "", 0)
