@@ -27,13 +27,15 @@ from sieveline.llm.names import near
 from sieveline.runtime import stored
 
 BUCKETS, RANK, EXTRA = 8192, 256, 32
-WINDOW, STEP, ITEM_STEP, PASSAGE = 32, 16, 16, 32
+WINDOW, STEP, ITEM_STEP, PASSAGE = 32, 16, 4, 32
 #: Documents that the directions are fitted to, at most about.
 SAMPLE = 10_000
 #: Least cosine of a candidate, and least share of an item window's weight that the document's window must hold in any order.
-SIMILAR, LEAST_HELD = 0.69, 0.36
+SIMILAR, LEAST_HELD = 0.5, 0.36
 #: An item leaks if the alignment has so many words and so much of the weight of the item's words in its span.
-LEAST_WORDS, LEAST_SHARE = 22, 0.72
+LEAST_WORDS, LEAST_SHARE = 18, 0.72
+#: So many words in order are proof at a smaller share, as of longer passages with more altered words.
+MANY_WORDS, MANY_SHARE = 26, 0.6
 MOST_ITEMS = 20_000
 
 HIDDEN = re.compile("[­​-‏⁠﻿‪-‮]")
@@ -207,10 +209,14 @@ class Items:
         hashed = [np.array([zlib.crc32(w.encode()) for w in ws], np.uint32) for ws in self.words]
         self.hashes = hashed
         self.weights = [idf[h % BUCKETS] for h in hashed]
-        ends = np.cumsum([0, *map(len, hashed)])
-        joined = np.concatenate([*hashed, np.zeros(0, np.uint32)])
-        self.owner, first, self.unit = window_vectors(vectors, (joined % BUCKETS).astype(np.int64), ends)
-        self.starts = first - ends[self.owner]
+        # Windows every ITEM_STEP words: those of the items without their first words.
+        owners, starts, units = [], [], []
+        for skipped in range(0, STEP, ITEM_STEP):
+            rest = [h[skipped:] if len(h) > STEP + skipped or not skipped else h[:0] for h in hashed]
+            ends = np.cumsum([0, *map(len, rest)])
+            owner, first, unit = window_vectors(vectors, (np.concatenate([*rest, np.zeros(0, np.uint32)]) % BUCKETS).astype(np.int64), ends)
+            owners.append(owner), starts.append(first - ends[owner] + skipped), units.append(unit)
+        self.owner, self.starts, self.unit = np.concatenate(owners), np.concatenate(starts), np.concatenate(units)
         self.parts = []
         for k, a in zip(self.owner, self.starts):
             h, first_at = np.unique(hashed[k][a : a + WINDOW], return_index=True)
@@ -309,7 +315,7 @@ def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key:
                     best = (0, 0.0)
                     for a, z in spans(hits, s, e, len(it.words[k])):
                         got = it.aligned(k, t[a:z], spelled)
-                        if got[0] >= LEAST_WORDS and got[1] >= LEAST_SHARE:
+                        if leaks(*got):
                             best = max(best, got)
                     if best[0]:
                         for column, x in zip(out, (keys[d], it.ids[k], best[0], best[1])):
@@ -319,6 +325,10 @@ def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key:
     return words.mapInArrow(run, f"`{key}` bigint, `{item_key}` bigint, words int, share double")
 
 
+def leaks(words: int, share: float) -> bool:
+    return words >= LEAST_WORDS and share >= LEAST_SHARE or words >= MANY_WORDS and share >= MANY_SHARE
+
+
 def with_texts(b: pa.RecordBatch, most: int = 25) -> Iterator[tuple[list, np.ndarray, np.ndarray, list[str]]]:
     """(keys, words joined, where each text's begin, texts) of a few documents at a time, so that their vectors stay in the processor's cache."""
     keys = b.column(0).to_pylist()

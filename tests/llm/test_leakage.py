@@ -24,6 +24,24 @@ def test_whole_part_and_altered_passages(spark):
     assert got == {(200, 0), (201, 1), (202, 2), (204, 4), (208, 5)}
 
 
+def test_short_passages_across_both_grids(spark):
+    items, noise = texts(4, 5, 90), texts(130, 6, 90)
+    docs, want = list(enumerate(noise)), set()
+    for at in range(0, 64, 3):
+        for altered in (0, 4):
+            k, words = at % 4, items[at % 4].split()[at % 61 : at % 61 + 25]
+            for i in range(altered):
+                words[3 + 6 * i] = f"other{at}x{i}"
+            before = noise[at].split()
+            docs.append((1000 + 2 * at + (altered > 0), " ".join(before[: at + 7] + words + before[at + 7 :])))
+            want.add((docs[-1][0], k))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    e = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in leaked(d, e, key="doc_id", text="text", item_key="item_id", item_text="text").collect()}
+    assert got <= want
+    assert {x for x in want if x[0] % 2 == 0} <= got and len(got) >= 0.8 * len(want)
+
+
 def test_empty(spark):
     d = spark.createDataFrame([], "doc_id bigint, text string")
     e = spark.createDataFrame([], "item_id bigint, text string")
