@@ -608,6 +608,15 @@ def keyword_windows(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", F.explode(windows(F.col("text"), "sensor", 100, 200)).alias("w")).select("doc_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
 
 
+@query()
+def keyword_windows_whole(spark: SparkSession, d: str) -> DataFrame:
+    """keyword_windows over texts of any length; its SQL tests every character position and is bounded to short texts."""
+    from sieveline.functions.documents import keyword_windows as windows
+
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", F.explode(windows(F.col("text"), "sensor", 100, 200)).alias("w")).select("doc_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
+
+
 @query()
 def redacted_snippets(spark: SparkSession, d: str) -> DataFrame:
     """Snippets whose numbers the candidate's delivery before doesn't support lose those sentences."""
