@@ -489,7 +489,10 @@ def field_source_choice(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT registry_seq, normalized_title AS rebuilt FROM openalex_candidate WHERE normalized_title IS NOT NULL AND normalized_title NOT LIKE '%  %'")
 def inverted_abstract(spark: SparkSession, d: str) -> DataFrame:
     """A text becomes a map from word to positions and is rebuilt from it."""
-    o = table(spark, d, "openalex_candidate").where("normalized_title is not null and normalized_title not like '%  %'")
+    return rebuilt(table(spark, d, "openalex_candidate").where("normalized_title is not null and normalized_title not like '%  %'"))
+
+
+def rebuilt(o: DataFrame) -> DataFrame:
     words = F.split("normalized_title", " ")
     index = F.map_from_arrays(F.array_distinct(words), F.transform(F.array_distinct(words), lambda w: F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == w)))
     return o.select("registry_seq", X.inverted_text(index).alias("rebuilt"))
@@ -608,6 +611,32 @@ def keyword_windows(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", F.explode(windows(F.col("text"), "sensor", 100, 200)).alias("w")).select("doc_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
 
 
+@query()
+def url_canonicalize_whole(spark: SparkSession, d: str) -> DataFrame:
+    """url_canonicalize also of URLs with query parts."""
+    u = F.col("links.primary_url")
+    return table(spark, d, "alert_candidate").select("delivery_seq", X.clean_url(u).alias("url"), X.host(u).alias("host"))
+
+
+@query()
+def author_keys_whole(spark: SparkSession, d: str) -> DataFrame:
+    """author_keys of names in any script."""
+    return table(spark, d, "optical_zo").select("mention_id", X.author_key(F.col("name")).alias("author_key"))
+
+
+@query()
+def inverted_abstract_whole(spark: SparkSession, d: str) -> DataFrame:
+    """inverted_abstract also of titles with several spaces, whose empty words have places too."""
+    return rebuilt(table(spark, d, "openalex_candidate").where("normalized_title is not null"))
+
+
+@query()
+def inverted_index_whole(spark: SparkSession, d: str) -> DataFrame:
+    """inverted_index of words of any length."""
+    o = table(spark, d, "openalex_candidate")
+    return TX.inverted_index(o, F.filter(F.split("normalized_title", " "), lambda w: w != ""), "registry_seq").select("key", "block", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+
+
 @query()
 def keyword_windows_whole(spark: SparkSession, d: str) -> DataFrame:
     """keyword_windows over texts of any length; its SQL tests every character position and is bounded to short texts."""
