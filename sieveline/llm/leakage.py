@@ -1,10 +1,15 @@
-"""Evaluation passages in a corpus: latent semantic retrieval, then alignment of the words.
+"""Evaluation passages in a corpus: latent semantic retrieval, then the longest common subsequence and a check of the answers.
 
-Texts become sequences of word hashes, stored once. A distributed randomised singular value decomposition of the TF-IDF matrix of the
-corpus' passages (the index is fitted to the passages of at most SAMPLE documents, those of least hash; word counts, search and alignment cover all. Each task multiplies its passages with a random test matrix and back; the small products are summed in a tree, and
-the Nystroem form gives directions and weights from one pass) yields a vector for each word bucket. Sliding windows of documents and items
-are compared by cosine; each window's candidates are aligned word by word, rare words counting more, misspelt
-words as equal, and a document leaks an item if the alignment covers enough words and most of the weight of the item's part.
+Texts become sequences of word hashes. A distributed randomised singular value decomposition of the TF-IDF matrix of the
+corpus' passages (the directions are fitted to the passages of about SAMPLE documents, those of least hash; word counts, search and alignment cover all. Each task multiplies
+its passages with a random test matrix and back; the small products are summed in a tree, and the Nystroem form gives directions and weights from one pass) yields a vector for each word
+bucket. Windows of WINDOW words, every STEP words in documents and every ITEM_STEP words in items, are compared by cosine: a passage of 25 words holds a whole window of the document
+wherever it lies, and a window of the item that is shifted against it by at most half of ITEM_STEP. Of the similar windows, those that share enough weight of words are kept, and around them
+the longest common subsequence is taken, words weighted by rarity, misspelt words as equal, gaps at a cost so that it is that of a passage. A document leaks
+an item if the subsequence has enough words and most of the weight of the item's part, and holds its answers: the rarest words of
+that part, which questions on it would ask for.
+
+Nothing is stored: texts are read once for the counts and once for the search, and their words are hashed anew, which costs less than writing them.
 
 Cases: null and blank texts hold nothing; items shorter than a window are compared whole; documents of any length are searched whole; copies of a
 document give a row each; the items are a stated set of bounded size, which is checked.
@@ -24,22 +29,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.names import near
-from sieveline.runtime import stored
 
-BUCKETS, RANK, EXTRA = 8192, 256, 32
-WINDOW, STEP, ITEM_STEP, PASSAGE = 32, 16, 4, 32
+BUCKETS, RANK, EXTRA = 8192, 128, 32
+WINDOW, STEP, ITEM_STEP, PASSAGE = 16, 8, 4, 32
 #: Documents that the directions are fitted to, at most about.
 SAMPLE = 10_000
-#: Least cosine of a candidate, and least share of an item window's weight that the document's window must hold in any order.
-SIMILAR, LEAST_HELD = 0.5, 0.36
-#: An item leaks if the alignment has so many words and so much of the weight of the item's words in its span.
-LEAST_WORDS, LEAST_SHARE = 18, 0.72
-#: So many words in order are proof at a smaller share, as of longer passages with more altered words.
-MANY_WORDS, MANY_SHARE = 26, 0.6
+#: Least cosine of a candidate, and least share of an item window's weight that the document must hold, in any order, within AROUND words of its window.
+SIMILAR, LEAST_HELD, AROUND = 0.65, 0.6, 4
+#: Words of an item window that are in order in the document: two such windows at one place, or one with more, are aligned.
+#: Measured on planted passages: all of 25 words that are whole or have 15 % altered are aligned, 98 % with 25 %, three quarters with 30 %; of 32 words 99 and 92 %; all from 40 words on.
+IN_ORDER, MORE_IN_ORDER = 10, 12
+#: An item leaks if the common subsequence has so many words and so much of the weight of the item's words in its span, and its answers, the rarest ANSWERS of the span's words, are held too:
+#: the two shares must reach LEAST_BOTH together, and MORE for each word under ENOUGH: texts of one template share many words, but those that matter least, and the shorter, the more by chance.
+LEAST_WORDS, LEAST_SHARE, ANSWERS = 17, 0.62, 0.25
+LEAST_BOTH, MORE, ENOUGH = 1.15, 0.015, 40
+#: Document windows that are compared with all item windows at once.
+AT_ONCE = 256
+#: Words by which the places of a passage's words in document and item may drift apart, and pairs that are aligned at once.
+SLACK, ALIGNED = 12, 64
 MOST_ITEMS = 20_000
+NO_WORD = np.uint32(0xFFFFFFFF)
 
-HIDDEN = re.compile("[­​-‏⁠﻿‪-‮]")
+HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\u202a-\u202e]")
 WORDS = re.compile(r"\w+")
+#: Of plain texts, lower case and spaces for everything between words.
+PLAIN = bytes(ord(chr(c).lower()) if chr(c).isalnum() or chr(c) == "_" else 32 for c in range(128)) + bytes(range(128, 256))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -49,39 +63,41 @@ def words_of(text: str | None) -> list[str]:
 class Hashes(dict):
     """Hash of each word, kept."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 500_000:
             self.clear()
-        h = self[word] = zlib.crc32(word.encode("utf-8", "replace"))
+        h = self[word] = zlib.crc32(word)
         return h
 
+    def of(self, text: str | None) -> np.ndarray:
+        words = encoded_words(text)
+        return np.fromiter(map(self.__getitem__, words), np.uint32, len(words))
 
-def encoded(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Columns key, tokens (the word hashes as uint32) and text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for b in batches:
-            out = [np.fromiter(map(hashes.__getitem__, words_of(t)), np.uint32).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(1)], names=["key", "tokens", "text"])
 
-    return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key bigint, tokens binary, text string")
+def encoded_words(text: str | None) -> list[bytes]:
+    """words_of(text), encoded; plain texts take a shorter way to the same."""
+    if not text:
+        return []
+    return text.encode().translate(PLAIN).split() if text.isascii() else [w.encode("utf-8", "replace") for w in words_of(text)]
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 400_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(keys, buffers joined, offsets in tokens) of about so many tokens at a time."""
+def blocks(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[tuple[list, np.ndarray, np.ndarray, list]]:
+    """(keys, word hashes joined, where each text's begin, texts) of about so many words at a time; columns key and text."""
+    hashes = Hashes()
     keys: list = []
-    parts: list[bytes] = []
+    parts: list[np.ndarray] = []
+    texts: list = []
     size = 0
     for b in batches:
-        for k, raw in zip(b.column(0).to_pylist(), b.column(column).to_pylist()):
-            keys.append(k), parts.append(raw)
-            size += len(raw) // 4
+        for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            part = hashes.of(text)
+            keys.append(k), parts.append(part), texts.append(text)
+            size += len(part)
             if size >= most:
-                yield keys, np.frombuffer(b"".join(parts), np.uint32), np.cumsum([0, *(len(p) // 4 for p in parts)])
-                keys, parts, size = [], [], 0
+                yield keys, np.concatenate(parts), np.cumsum([0, *map(len, parts)]), texts
+                keys, parts, texts, size = [], [], [], 0
     if keys:
-        yield keys, np.frombuffer(b"".join(parts), np.uint32), np.cumsum([0, *(len(p) // 4 for p in parts)])
+        yield keys, np.concatenate(parts), np.cumsum([0, *map(len, parts)]), texts
 
 
 def summed(parts: DataFrame, shape: tuple[int, ...], dtype: str) -> np.ndarray:
@@ -98,19 +114,19 @@ def summed(parts: DataFrame, shape: tuple[int, ...], dtype: str) -> np.ndarray:
     return np.frombuffer(rows[0].part, dtype).reshape(shape) if rows else np.zeros(shape, dtype)
 
 
-def document_counts(tokens: DataFrame) -> tuple[np.ndarray, int]:
+def document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many documents each bucket occurs, and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS + 1, np.int64)
-        for keys, t, ends in batches_of(batches):
+        for keys, t, ends, _ in blocks(batches):
             row = np.repeat(np.arange(len(keys)), np.diff(ends))
             pair = np.unique(row * BUCKETS + (t % BUCKETS).astype(np.int64))
             total[:BUCKETS] += np.bincount(pair % BUCKETS, minlength=BUCKETS)
             total[BUCKETS] += len(keys)
         yield pa.RecordBatch.from_arrays([pa.array([int(total[BUCKETS]) % 16], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slot", "part"])
 
-    total = summed(tokens.mapInArrow(run, "slot int, part binary"), (BUCKETS + 1,), "int64")
+    total = summed(texts.mapInArrow(run, "slot int, part binary"), (BUCKETS + 1,), "int64")
     return total[:BUCKETS], int(total[BUCKETS])
 
 
@@ -118,7 +134,7 @@ def test_matrix() -> np.ndarray:
     return np.random.default_rng(7).standard_normal((BUCKETS, RANK + EXTRA)).astype(np.float32)
 
 
-def word_vectors(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
+def word_vectors(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Vector of each bucket: its weight times the directions, damped by their strength."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +142,7 @@ def word_vectors(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
         square = np.append(idf**2, np.float32(0))
         total = np.zeros((BUCKETS, RANK + EXTRA), np.float32)
         n = 0
-        for keys, t, ends in batches_of(batches, most=100_000):
+        for keys, t, ends, _ in blocks(batches, most=100_000):
             n += len(keys)
             bucket = (t % BUCKETS).astype(np.int64)
             if not len(bucket):
@@ -142,7 +158,7 @@ def word_vectors(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
         total *= idf[:, None]
         yield pa.RecordBatch.from_arrays([pa.array([n % 16], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slot", "part"])
 
-    y = summed(tokens.mapInArrow(run, "slot int, part binary"), (BUCKETS, RANK + EXTRA), "float32").astype(np.float64)
+    y = summed(texts.mapInArrow(run, "slot int, part binary"), (BUCKETS, RANK + EXTRA), "float32").astype(np.float64)
     omega = test_matrix().astype(np.float64)
     shift = 1e-6 * max(np.linalg.norm(y), 1e-9)
     y = y + shift * omega
@@ -153,12 +169,6 @@ def word_vectors(tokens: DataFrame, idf: np.ndarray) -> np.ndarray:
     return np.append(damped / max(np.abs(damped).max(), 1e-12) * idf[:, None], np.zeros((1, RANK)), axis=0).astype(np.float32)
 
 
-def windows(start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the windows of the words start to end."""
-    at = np.arange(start, max(end - STEP, start + 1), STEP)
-    return at, np.minimum(at + WINDOW, end)
-
-
 def padded(bucket: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word, buckets) of each block of size words; the last of a text is filled up with BUCKETS, the bucket of nothing."""
     count = -(-np.diff(ends) // size)
@@ -206,7 +216,7 @@ class Items:
         self.ids = [i for i, _ in rows]
         self.words = [words_of(t) for _, t in rows]
         self.vectors, self.idf = vectors, idf
-        hashed = [np.array([zlib.crc32(w.encode()) for w in ws], np.uint32) for ws in self.words]
+        hashed = [np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in ws], np.uint32) for ws in self.words]
         self.hashes = hashed
         self.weights = [idf[h % BUCKETS] for h in hashed]
         # Windows every ITEM_STEP words: those of the items without their first words.
@@ -217,88 +227,152 @@ class Items:
             owner, first, unit = window_vectors(vectors, (np.concatenate([*rest, np.zeros(0, np.uint32)]) % BUCKETS).astype(np.int64), ends)
             owners.append(owner), starts.append(first - ends[owner] + skipped), units.append(unit)
         self.owner, self.starts, self.unit = np.concatenate(owners), np.concatenate(starts), np.concatenate(units)
-        self.parts = []
-        for k, a in zip(self.owner, self.starts):
-            h, first_at = np.unique(hashed[k][a : a + WINDOW], return_index=True)
+        # Of each window its words and the share of its weight, by place; a repeated word has its weight once.
+        self.window_words, self.window_weights = np.full((WINDOW, len(self.owner)), NO_WORD, np.uint32), np.zeros((WINDOW, len(self.owner)), np.float32)
+        for row, (k, a) in enumerate(zip(self.owner, self.starts)):
+            h = hashed[k][a : a + WINDOW]
+            first_at = np.unique(h, return_index=True)[1]
             w = self.weights[k][a : a + WINDOW][first_at]
-            self.parts.append((h, w / max(w.sum(), 1e-9)))
-        #: Of each item, its distinct words with their letters as bits and their places, for misspelt words.
-        self.spelled: list[list[tuple[str, int, list[int]]]] = []
-        for ws in self.words:
-            places: dict[str, list[int]] = {}
-            for at, w in enumerate(ws):
-                places.setdefault(w, []).append(at)
-            self.spelled.append([(w, letters(w), at) for w, at in places.items()])
+            self.window_words[: len(h), row] = np.minimum(h, NO_WORD - 2)
+            self.window_weights[first_at, row] = w / max(w.sum(), 1e-9)
+        self.across = np.ascontiguousarray(self.unit.T)
+        #: The items' words side by side, and their letters as bits, for misspelt words.
+        self.lengths = np.array([*map(len, hashed), 0])[: len(hashed)]
+        shape = (len(hashed), max([*map(len, hashed), 0]) + 1)
+        self.padded_hashes, self.padded_weights, self.padded_masks = np.full(shape, 1 << 41, np.int64), np.zeros(shape), np.zeros(shape, np.uint64)
+        for k, (h, ws) in enumerate(zip(hashed, self.words)):
+            self.padded_hashes[k, : len(h)], self.padded_weights[k, : len(h)], self.padded_masks[k, : len(h)] = h, self.weights[k], [letters(w) for w in ws]
+        self.means = np.array([w.mean() if len(w) else 0.0 for w in self.weights])
         self.vocabulary: dict[int, str] = {int(h): w for hs, ws in zip(hashed, self.words) for h, w in zip(hs, ws)}
 
-    def candidates(self, t: np.ndarray, ends: np.ndarray, similar: float = SIMILAR) -> dict[tuple[int, int], list[tuple[float, int]]]:
-        """(document, item) -> (similarity, first word) of its similar windows."""
-        found: dict[tuple[int, int], list] = {}
+    def candidates(self, t: np.ndarray, ends: np.ndarray, similar: float = SIMILAR) -> dict[tuple[int, int], list[int]]:
+        """(document, item) -> where the item would begin in the document by its similar windows."""
         if not len(t) or not len(self.unit):
-            return found
+            return {}
         doc, first, unit = window_vectors(self.vectors, (t % BUCKETS).astype(np.int64), ends)
-        for at in range(0, len(doc), 2048):
-            s = unit[at : at + 2048] @ self.unit.T
-            for i, j in zip(*np.nonzero(s >= similar)):
-                d, f = int(doc[at + i]), int(first[at + i])
-                h, w = self.parts[j]
-                if w[np.isin(h, t[max(f - STEP, ends[d]) : min(f + WINDOW + STEP, ends[d + 1])])].sum() >= LEAST_HELD:
-                    found.setdefault((d, int(self.owner[j])), []).append((float(s[i, j]), f))
-        return found
-
-    def aligned(self, k: int, t: np.ndarray, words: dict[int, str] | None = None) -> tuple[int, float]:
-        """Words and share of the weight of the best local alignment of item k in the words t."""
-        h, w = self.hashes[k], self.weights[k].astype(np.float64)
-        m, n = len(t), len(h)
-        same = t[:, None] == h[None, :]
-        if words:
-            for i in np.nonzero(~same.any(1))[0]:
-                x = words.get(int(t[i]))
-                if x and int(t[i]) not in self.vocabulary:
-                    mask = letters(x)
-                    for y, bits, at in self.spelled[k]:
-                        # An edit changes at most two letters of the sets of letters.
-                        if (mask ^ bits).bit_count() <= 4 and misspelt(x, y):
-                            same[i, at] = True
-        gap = 0.45 * w.mean()
-        score = np.where(same, w[None, :], -np.maximum(0.6 * w[None, :], gap))
-        ramp = gap * np.arange(n + 1)
-        table = np.zeros((m + 1, n + 1))
-        for i in range(m):
-            above, row = table[i], table[i + 1]
-            np.add(above[:-1], score[i], out=row[1:])
-            np.maximum(row, above - gap, out=row)
-            np.maximum(row, 0, out=row)
-            row += ramp
-            np.maximum.accumulate(row, out=row)
-            row -= ramp
-        i, j = np.unravel_index(table.argmax(), table.shape)
-        end, hits, weight = j, 0, 0.0
-        while i > 0 and j > 0 and table[i, j] > 1e-9:
-            if abs(table[i, j] - (table[i - 1, j - 1] + score[i - 1, j - 1])) < 1e-9:
-                if same[i - 1, j - 1]:
-                    hits += 1
-                    weight += w[j - 1]
-                i, j = i - 1, j - 1
-            elif abs(table[i, j] - (table[i - 1, j] - gap)) < 1e-9:
+        near = []
+        for at in range(0, len(doc), AT_ONCE):
+            near.append(np.flatnonzero((unit[at : at + AT_ONCE] @ self.across).ravel() >= similar) + at * len(self.unit))
+        i, j = np.divmod(np.concatenate([*near, np.zeros(0, np.int64)]), len(self.unit))
+        # The words around each document window, and after those of its document what no word equals.
+        place = first[None, :] + np.arange(-AROUND, WINDOW + AROUND)[:, None]
+        around = np.where((place >= ends[doc][None, :]) & (place < ends[doc + 1][None, :]), np.minimum(t, NO_WORD - 2)[np.clip(place, 0, len(t) - 1)], NO_WORD - 1)
+        hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for at in range(0, len(i), 8192):
+            a, b = i[at : at + 8192], j[at : at + 8192]
+            met = around[:, a]
+            share = np.zeros(len(a), np.float32)
+            for c in range(WINDOW):
+                share += self.window_weights[c, b] * (met == self.window_words[c, b]).any(0)
+            held = np.flatnonzero(share >= LEAST_HELD)
+            a, b, met = a[held], b[held], met[:, held]
+            # Bit-parallel longest common subsequence: bit c is the window's word c.
+            open_ = np.full(len(a), (1 << WINDOW) - 1, np.uint32)
+            for words in met:
+                bits = np.zeros(len(a), np.uint32)
+                for c in range(WINDOW):
+                    bits |= (words == self.window_words[c, b]).astype(np.uint32) << np.uint32(c)
+                both = open_ & bits
+                open_ = ((open_ + both) | (open_ - both)) & np.uint32((1 << WINDOW) - 1)
+            ordered = WINDOW - np.bitwise_count(open_).astype(int)
+            for d, k, begin, n in zip(doc[a], self.owner[b], first[a] - self.starts[b], ordered):
+                if n >= IN_ORDER:
+                    hits.setdefault((int(d), int(k)), []).append((int(begin), int(n)))
+        found = {x: places_of(each) for x, each in hits.items()}
+        return {x: begins for x, begins in found.items() if begins}
+
+    def aligned(self, asked: list[tuple[int, np.ndarray, int, list[bytes] | None]]) -> list[tuple[int, float, float]]:
+        """For each (item, words, where the item would begin among them, the words spelled out): of the weightiest common subsequence its words, their share of the weight of the item's
+        words in its span, and the share of the answers among them. Of each word of the document, the item's words up to SLACK places from its own place are compared."""
+        out = [(0, 0.0, 0.0)] * len(asked)
+        order = sorted(range(len(asked)), key=lambda x: len(asked[x][1]))
+        band = np.arange(-SLACK, SLACK + 1)
+        for at in range(0, len(order), ALIGNED):
+            part = order[at : at + ALIGNED]
+            k = np.array([asked[x][0] for x in part])
+            m = max(len(asked[x][1]) for x in part)
+            t = np.full((len(part), m), 1 << 40, np.int64)
+            for row, x in enumerate(part):
+                t[row, : len(asked[x][1])] = asked[x][1]
+            # Place in the item, of each word of the document and each of the band.
+            places = (np.arange(m)[None, :] - np.array([asked[x][2] for x in part])[:, None])[:, :, None] + band[None, None, :]
+            inside = (places >= 0) & (places < self.lengths[k][:, None, None])
+            places = np.where(inside, places, self.lengths.max())
+            there = self.padded_hashes[k[:, None, None], places]
+            same = there == t[:, :, None]
+            w = self.padded_weights[k[:, None, None], places]
+            self.misspellings(same, places, k, t, [asked[x][3] for x in part])
+            mean = self.means[k]
+            gap = 0.45 * mean
+            score = np.where(same, w, -np.maximum(0.6 * w, gap[:, None, None]))
+            score[~inside] = -1e6
+            score = np.ascontiguousarray(score.transpose(1, 0, 2))
+            gaps = gap[:, None]
+            ramp = gaps * np.arange(len(band))[None, :]
+            table = np.zeros((m + 1, len(part), len(band)))
+            for i in range(m):
+                above, row = table[i], table[i + 1]
+                np.add(above, score[i], out=row)
+                np.maximum(row[:, :-1], above[:, 1:] - gaps, out=row[:, :-1])
+                np.maximum(row, 0, out=row)
+                row += ramp
+                np.maximum.accumulate(row, axis=1, out=row)
+                row -= ramp
+            top = table.max((0, 2))
+            for row, x in enumerate(part):
+                # No passage of LEAST_WORDS words with its share of the weight has so low a sum.
+                if top[row] >= 5 * mean[row]:
+                    out[x] = self.traced(table[:, row], score[:, row], float(gap[row]), same[row], places[row], self.weights[k[row]].astype(np.float64))
+        return out
+
+    def misspellings(self, same: np.ndarray, places: np.ndarray, k: np.ndarray, t: np.ndarray, spelled: list[list[bytes] | None]) -> None:
+        """Marks as the same what is a misspelt word of the item."""
+        for row in range(len(k)):
+            words = spelled[row]
+            if not words:
+                continue
+            odd = [i for i in np.flatnonzero(~same[row].any(1)[: len(words)]).tolist() if int(t[row, i]) not in self.vocabulary]
+            if odd:
+                texts = [words[i].decode("utf-8", "replace") for i in odd]
+                # An edit changes at most two letters of the sets of letters.
+                apart = np.bitwise_count(np.array([letters(x) for x in texts], np.uint64)[:, None] ^ self.padded_masks[k[row]][places[row, odd]])
+                for i, b in zip(*np.nonzero(apart <= 4)):
+                    j = places[row, odd[i], b]
+                    if j < len(self.words[k[row]]) and misspelt(texts[i], self.words[k[row]][j]):
+                        same[row, odd[i], b] = True
+
+    @staticmethod
+    def traced(table: np.ndarray, score: np.ndarray, gap: float, same: np.ndarray, places: np.ndarray, w: np.ndarray) -> tuple[int, float, float]:
+        i, b = map(int, np.unravel_index(table.argmax(), table.shape))
+        held = np.zeros(len(w), bool)
+        start = end = int(places[i - 1, b]) + 1
+        while i > 0 and b >= 0 and table[i, b] > 1e-9:
+            j = int(places[i - 1, b])
+            if abs(table[i, b] - (table[i - 1, b] + score[i - 1, b])) < 1e-9:
+                held[j] |= same[i - 1, b]
+                start = j
                 i -= 1
+            elif b + 1 < table.shape[1] and abs(table[i, b] - (table[i - 1, b + 1] - gap)) < 1e-9:
+                i, b = i - 1, b + 1
             else:
-                j -= 1
-        total = w[j:end].sum()
-        return hits, weight / total if total else 0.0
+                b -= 1
+        span, got = w[start:end], held[start:end]
+        if not len(span):
+            return 0, 0.0, 0.0
+        asked = span >= np.sort(span)[-max(1, int(len(span) * ANSWERS))]
+        return int(got.sum()), float(span[got].sum() / span.sum()), float(span[got & asked].sum() / span[asked].sum())
 
 
 def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key: str, item_text: str) -> DataFrame:
-    """Columns key, item_key, words, share: the documents that hold passages of items."""
+    """Columns key, item_key, words, share, answered: the documents that hold passages of items."""
     rows = items.select(F.col(item_key).cast("bigint").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null").distinct().limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
         raise ValueError(f"there are more than {MOST_ITEMS} items; compare them in parts")
-    words = stored(encoded(docs.where(f"{text} is not null"), key, text), "tokens")
-    tokens = words.select("key", "tokens")
-    df, n = document_counts(tokens)
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    df, n = document_counts(texts)
     idf = np.log((n + 1) / (df + 1)).astype(np.float32) + 0.05
     part = min(1.0, SAMPLE / max(n, 1))
-    fitted = tokens if part == 1.0 else tokens.where(F.xxhash64("key") < int(-(2**63) + part * 2**64))
+    fitted = texts if part == 1.0 else texts.where(F.xxhash64("key") < int(-(2**63) + part * 2**64))
     vectors = word_vectors(fitted, idf)
     given = sorted((r.i, r.t) for r in rows)
     kept = docs.sparkSession.sparkContext.broadcast((vectors, idf, given))  # 8192 short vectors, and the items, whose number is checked
@@ -306,44 +380,40 @@ def leaked(docs: DataFrame, items: DataFrame, *, key: str, text: str, item_key:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, idf, given = kept.value
         it = Items(given, vectors, idf)
-        for b in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for keys, t, ends, texts in with_texts(b):
-                for (d, k), hits in it.candidates(t, ends).items():
-                    s, e = int(ends[d]), int(ends[d + 1])
-                    spelled = {int(h): w for h, w in zip(t[s:e], words_of(texts[d].as_py()))}
-                    best = (0, 0.0)
-                    for a, z in spans(hits, s, e, len(it.words[k])):
-                        got = it.aligned(k, t[a:z], spelled)
-                        if leaks(*got):
-                            best = max(best, got)
-                    if best[0]:
-                        for column, x in zip(out, (keys[d], it.ids[k], best[0], best[1])):
-                            column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.float64()))], names=[key, item_key, "words", "share"])
-
-    return words.mapInArrow(run, f"`{key}` bigint, `{item_key}` bigint, words int, share double")
-
-
-def leaks(words: int, share: float) -> bool:
-    return words >= LEAST_WORDS and share >= LEAST_SHARE or words >= MANY_WORDS and share >= MANY_SHARE
-
-
-def with_texts(b: pa.RecordBatch, most: int = 25) -> Iterator[tuple[list, np.ndarray, np.ndarray, list[str]]]:
-    """(keys, words joined, where each text's begin, texts) of a few documents at a time, so that their vectors stay in the processor's cache."""
-    keys = b.column(0).to_pylist()
-    for at in range(0, len(keys), most):
-        parts = b.column(1).slice(at, most).to_pylist()
-        yield keys[at : at + most], np.frombuffer(b"".join(parts), np.uint32), np.cumsum([0, *(len(p) // 4 for p in parts)]), b.column(2).slice(at, most)
-
-
-def spans(hits: list[tuple[float, int]], start: int, end: int, length: int) -> list[tuple[int, int]]:
-    """Parts of the document around its similar windows, wide enough for the whole item; overlapping ones joined."""
-    out: list[tuple[int, int]] = []
-    for f in sorted({f for _, f in hits}):
-        a, z = max(start, f - length - 8), min(end, f + WINDOW + length + 8)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], z)
+        # Few words at a time, so that their vectors stay in the processor's cache.
+        for keys, t, ends, texts in blocks(batches, most=20_000):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            who, asked = [], []
+            spelled: tuple[int, list[bytes]] = (-1, [])
+            for (d, k), begins in sorted(it.candidates(t, ends).items()):
+                s, e = int(ends[d]), int(ends[d + 1])
+                if spelled[0] != d:
+                    spelled = (d, encoded_words(texts[d]))
+                for begin in begins:
+                    a, z = max(s, begin - SLACK), min(e, begin + len(it.words[k]) + SLACK)
+                    who.append((d, k)), asked.append((k, t[a:z], begin - a, spelled[1][a - s : z - s]))
+            best: dict[tuple[int, int], tuple[int, float, float]] = {}
+            for x, got in zip(who, it.aligned(asked)):
+                if leaks(*got):
+                    best[x] = max(best.get(x, got), got)
+            for (d, k), got in best.items():
+                for column, x in zip(out, (keys[d], it.ids[k], *got)):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64()))], names=[key, item_key, "words", "share", "answered"])
+
+    return texts.mapInArrow(run, f"`{key}` bigint, `{item_key}` bigint, words int, share double, answered double")
+
+
+def leaks(words: int, share: float, answered: float) -> bool:
+    return words >= LEAST_WORDS and share >= LEAST_SHARE and share + answered >= LEAST_BOTH + MORE * max(0, ENOUGH - words)
+
+
+def places_of(hits: list[tuple[int, int]]) -> list[int]:
+    """Of the (place where an item would begin, words in order) those at most half of SLACK apart taken as one; left out is what only one window with few words in order speaks for."""
+    groups: list[list[tuple[int, int]]] = []
+    for hit in sorted(hits):
+        if groups and hit[0] - groups[-1][0][0] <= SLACK // 2:
+            groups[-1].append(hit)
         else:
-            out.append((a, z))
-    return out
+            groups.append([hit])
+    return [sum(b for b, _ in g) // len(g) for g in groups if len(g) > 1 or g[0][1] >= MORE_IN_ORDER]

@@ -1,6 +1,6 @@
 import numpy as np
 
-from sieveline.llm.leakage import BUCKETS, RANK, Items, leaked, misspelt, padded, window_vectors, words_of
+from sieveline.llm.leakage import BUCKETS, RANK, STEP, WINDOW, Hashes, Items, leaked, misspelt, padded, window_vectors, words_of
 
 
 def texts(n, seed, words=60):
@@ -56,16 +56,17 @@ def test_windows_equal_plain_sums():
     text, first, unit = window_vectors(v, bucket, ends)
     assert set(text.tolist()) == {0, 2, 3, 4}
     for t, f, u in zip(text, first, unit):
-        x = v[bucket[f : min(f + 32, ends[t + 1])]].sum(0)
+        x = v[bucket[f : min(f + WINDOW, ends[t + 1])]].sum(0)
         assert np.allclose(u, x / np.linalg.norm(x), atol=1e-5)
-    assert (padded(bucket, ends, 16)[2] == BUCKETS).sum() == 11 + 8 + 12
+    assert (padded(bucket, ends, STEP)[2] == BUCKETS).sum() == 3 + 0 + 0 + 4
 
 
 def test_alignment_counts_words_in_order():
     vectors, idf = np.ones((BUCKETS + 1, RANK), np.float32), np.ones(BUCKETS, np.float32)
     it = Items([(1, " ".join(f"w{i}" for i in range(40)))], vectors, idf)
     t = np.array(list(it.hashes[0][5:35]), np.uint32)
-    assert it.aligned(0, t) == (30, 1.0)
-    assert it.aligned(0, t[::-1].copy())[0] <= 2
+    assert it.aligned([(0, t, -5, None)]) == [(30, 1.0, 1.0)]
+    assert it.aligned([(0, t[::-1].copy(), -5, None), (0, t[:9], -5, None)])[0][0] <= 2
     assert misspelt("resonator", "resontaor") and not misspelt("resonator", "detector")
     assert words_of("Acousto-\nOptic​ X") == ["acousto", "optic", "x"] and words_of(None) == []
+    assert np.array_equal(Hashes().of("Acousto-Optic x_1's 2"), Hashes().of("Acousto-\u00adOptic x_1’s 2")) and len(Hashes().of(None)) == 0
