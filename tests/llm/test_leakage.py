@@ -70,3 +70,17 @@ def test_alignment_counts_words_in_order():
     assert misspelt("resonator", "resontaor") and not misspelt("resonator", "detector")
     assert words_of("Acousto-\nOptic​ X") == ["acousto", "optic", "x"] and words_of(None) == []
     assert np.array_equal(Hashes().of("Acousto-Optic x_1's 2"), Hashes().of("Acousto-\u00adOptic x_1’s 2")) and len(Hashes().of(None)) == 0
+
+
+def test_lists_find_what_exhaustive_search_finds():
+    items, noise = texts(60, 11, 90), texts(300, 12, 60)
+    rng = np.random.default_rng(1)
+    vectors = np.append(rng.standard_normal((BUCKETS, RANK)).astype(np.float32), np.zeros((1, RANK), np.float32), axis=0)
+    it = Items(list(enumerate(items)), vectors, np.ones(BUCKETS, np.float32))
+    planted = [n + " " + " ".join(w for i, w in enumerate(items[k % 60].split()[k % 50 : k % 50 + 30]) if i % 6) for k, n in enumerate(noise)]
+    each = [Hashes().of(x) for x in planted]
+    unit = window_vectors(vectors, (np.concatenate(each) % BUCKETS).astype(np.int64), np.cumsum([0, *map(len, each)]))[2]
+    i, j = np.nonzero(unit @ it.unit.T >= 0.65)
+    got = set(zip(*map(np.ndarray.tolist, it.near(unit, 0.65))))
+    assert len(i) > 200 and got <= set(zip(i.tolist(), j.tolist())) and len(got) >= 0.95 * len(i)
+    assert Items([], vectors, np.ones(BUCKETS, np.float32)).candidates(each[0], np.array([0, len(each[0])])) == {}
