@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.operators.deliver_once import SeenStore, deliver_once
+from sieveline.operators.deliver_once import SeenStore, deliver_in_order
 from sieveline.runtime import table
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Superfluous copies of alert messages, all deliveries taken as one batch against an empty store."""
+    """Superfluous copies of alert messages, replayed in order of arrival against a store that begins empty."""
     alerts = table(spark, sf_dir, "alert_candidate")
-    done = deliver_once(alerts, SeenStore(spark), message_id=F.col("source.message_id"), part=F.col("candidate_id"), received_at=F.col("source.received_at"), seq="delivery_seq")
-    return done.superfluous.select(F.col("seq").alias("delivery_seq"))
+    done = deliver_in_order(alerts, SeenStore(spark), message_id=F.col("source.message_id"), part=F.col("candidate_id"), received_at=F.col("source.received_at"), seq="delivery_seq")
+    return done.select(F.col("seq").alias("delivery_seq"))
 
 
 QUERIES = {"p6_found": p6_found}

@@ -44,17 +44,26 @@ def read_document(spark: SparkSession, path: str, default: Any) -> Any:
     return found if isinstance(found, dict) else default
 
 
-def write_document(spark: SparkSession, path: str, document: Any) -> None:
-    """Replaces one JSON document by a rename, so that readers see the old or the new one."""
-    fs, target = _fs(spark, path)
-    staged = f"{path}.{uuid.uuid4().hex}"
-    _, p = _fs(spark, staged)
+def write_file(spark: SparkSession, path: str, data: bytes, overwrite: bool = True) -> None:
+    """Writes a file beside its place and renames it there in one step: readers see nothing, the old or the new one. Fails where there is one already unless overwrite."""
+    fs, p = _fs(spark, f"{path}.{uuid.uuid4().hex}")
     out = fs.create(p)
-    out.write(bytearray(json.dumps(document, sort_keys=True, ensure_ascii=False).encode()))
+    out.write(bytearray(data))
     out.close()
-    fs.delete(target, False)
-    if not fs.rename(p, target):
-        raise OSError(f"could not replace {path}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE if overwrite else kind.NONE
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(p, _fs(spark, path)[1], how)
+    except Exception as e:
+        fs.delete(p, False)
+        raise FileExistsError(f"{path} exists or cannot be replaced") from e
+
+
+def write_document(spark: SparkSession, path: str, document: Any) -> None:
+    """Replaces one JSON document; readers see the old or the new one."""
+    write_file(spark, path, json.dumps(document, sort_keys=True, ensure_ascii=False).encode())
 
 
 def sorted_struct(c: Column, kind: T.DataType) -> Column:
