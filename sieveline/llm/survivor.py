@@ -1,12 +1,12 @@
 """One surviving record of each group of duplicates, field by field.
 
-Fields are unpivoted to long rows. Each row votes for its value with the trust in its source times a decay of its age; votes are
-summed per normalised value. A value that is damaged (cut, misread bytes, markup, lost spaces, changed case, ...) stands behind every undamaged one, a less full one behind a
-fuller one, and votes decide among equals; max_by chooses the winner and the fields are pivoted back. For names from a list (venues), an entry of the list
-that a trusted row holds comes first.
+Fields are unpivoted to long rows. Each row votes for its value with the trust in it times a decay of its age; votes are summed per normalised value, max_by chooses the value with
+the most, and the fields are pivoted back. The trust in a value is that in its source times that in its state: each sign of damage (cut, misread bytes, markup, lost spaces, changed case,
+...) divides it by DAMAGED, and what is fuller has more by a rate that falls with the length. These factors are so strong that no number of copies of a damaged value outvotes an undamaged one;
+among values in the same state the source and the age decide. For names from a list (venues), an entry of the list is trusted as much more as an undamaged value.
 
 Cases: null, blank and placeholder values never win over a value; a field that no member has gives no row; members that are not in the
-rows are ignored; repeated members vote once; ties go to the smallest sequence number; a group of any size is combined
+rows are ignored; repeated members vote once; ties go to the smallest sequence number; a time that can't be read counts as NOW; a group of any size is combined
 before the shuffle, in steps by value, and no group is ever gathered.
 """
 
@@ -24,6 +24,10 @@ from sieveline.llm.canonical import LOOKALIKES, MARK, reference_list
 from sieveline.llm.truncation import OK, ending_words, judge
 
 HALF_LIFE_DAYS = 180.0
+#: The instant that ages are counted from, unless another is given.
+NOW = "2026-01-01T00:00:00Z"
+#: Binary logarithms: of what a sign of damage divides trust by, and of what the fullest text has more than an empty one; words at which half of that is reached.
+DAMAGED, FULLEST, HALF_FULL = 40.0, 900.0, 120.0
 TRUST = {"metadata_verified": 1.0, "doi_extracted": 0.8, "regex_extracted": 0.6}
 OTHER_TRUST = 0.5
 
@@ -55,54 +59,55 @@ def damage(field: str, value: str, venue: str | None, ends: set[str]) -> int | N
 
 
 def judged_values(members: DataFrame, names: set[str], ends: set[str]) -> DataFrame:
-    """Long rows: group, field, seq, norm, exact, good (higher is better), full, vote."""
+    """Long rows: group, field, seq, norm, exact, good (signs of trust less signs of damage), full (words), trust (in the source), at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-            for r in rows:
-                decay = 0.5 ** (-(r["at"] or 0.0) / HALF_LIFE_DAYS)
-                for field in ("title", "venue_normalized", "snippet", "raw_metadata_line"):
-                    value = r[field]
+            column = {n: batch.column(n).to_pylist() for n in ("venue_normalized", "title", "snippet", "raw_metadata_line", "venue", "status")}
+            for field in ("title", "venue_normalized", "snippet", "raw_metadata_line"):
+                rows, good, full, trust, norm = [], [], [], [], []
+                for row, value in enumerate(column[field]):
                     if value is None or not value.strip():
                         continue
-                    trust = OTHER_TRUST
                     if field == "venue_normalized":
                         if value.strip() in ("-", "n/a", "null", "None"):
                             continue
-                        trust = TRUST.get(r["status"], OTHER_TRUST)
-                        good, full = (value in names) * 2 + (r["status"] == "metadata_verified") - 2 * bool(MARK.search(value)), 0
+                        status = column["status"][row]
+                        g, f, t = (value in names) * 2 + (status == "metadata_verified") - 2 * bool(MARK.search(value)), 0, TRUST.get(status, OTHER_TRUST)
                     else:
-                        bad = damage(field, value, r["venue"], ends)
+                        bad = damage(field, value, column["venue"][row], ends)
                         if bad is None:
                             continue
-                        good, full = -bad, len(value.split())
-                    norm = " ".join(value.casefold().split())
-                    for column, x in zip(out, (r["group"], field, r["seq"], norm, value, good, full, trust * r["auth"] * decay)):
-                        column.append(x)
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=["group", "field", "seq", "norm", "exact", "good", "full", "vote"])
+                        g, f, t = -bad, len(value.split()), OTHER_TRUST
+                    rows.append(row), good.append(g), full.append(f), trust.append(t), norm.append(" ".join(value.casefold().split()))
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("group").take(at), pa.array([field] * len(rows), pa.string()), batch.column("seq").take(at), pa.array(norm, pa.string()), batch.column(field).take(at), pa.array(good, pa.int32()), pa.array(full, pa.int32()), pa.array(trust, pa.float64()), batch.column("at").take(at), batch.column("auth").take(at)],
+                    names=["group", "field", "seq", "norm", "exact", "good", "full", "trust", "at", "auth"],
+                )
 
-    return members.mapInArrow(run, "group bigint, field string, seq bigint, norm string, exact string, good int, full int, vote double")
+    return members.mapInArrow(run, "group bigint, field string, seq bigint, norm string, exact string, good int, full int, trust double, at double, auth double")
 
 
-def survivors(groups: DataFrame, rows: DataFrame, names: DataFrame, *, group: str, seq: str, name: str = "name") -> DataFrame:
-    """Columns group, field, seq, value: the row whose value survives, of each group and field."""
+def survivors(groups: DataFrame, rows: DataFrame, names: DataFrame, *, group: str, seq: str, name: str = "name", now: str = NOW) -> DataFrame:
+    """Columns group, field, seq: the row whose value survives, of each group and field."""
     listed = {n for _, n in reference_list(names.withColumn("_one", F.lit(1)), "_one", name)[0]}
     ends = ending_words(rows, "title")
+    day = lambda c: F.unix_timestamp(instant(c)) / 86400.0
     picked = rows.select(
         F.col(seq).cast("bigint").alias("seq"), "title", F.col("venue.normalized").alias("venue_normalized"), "snippet", "raw_metadata_line", F.col("venue.raw").alias("venue"), F.col("venue.verification_status").alias("status"),
-        (F.unix_timestamp(instant(F.col("source.received_at"))) / 86400.0 - 20454.0).alias("at"),
+        (day(F.col("source.received_at")) - day(F.lit(now))).alias("at"),
         (0.75 + F.when(F.col("source.authentication.dkim") == "pass", 0.25).otherwise(0.0)).alias("auth"),
     )
     members = groups.select(F.col(group).cast("bigint").alias("group"), F.col(seq).cast("bigint").alias("seq")).where("`group` is not null").distinct().join(picked, "seq")
-    long = judged_values(members, listed, ends)
+    state = DAMAGED * F.col("good") + FULLEST * F.col("full") / (F.col("full") + HALF_FULL)
+    vote = F.pow(F.lit(2.0), state + F.coalesce("at", F.lit(0.0)) / HALF_LIFE_DAYS) * F.col("trust") * F.col("auth")
+    long = judged_values(members, listed, ends).withColumn("vote", vote)
     # Combined by exact value (its digest: values may be long), then by normalised value, then by field: hot groups shrink at each step.
-    exact = long.groupBy("group", "field", F.md5("norm").alias("norm"), F.md5("exact").alias("exact")).agg(F.min("seq").alias("seq"), F.max("good").alias("good"), F.max("full").alias("full"), F.sum("vote").alias("vote"))
-    best = F.max_by("seq", F.struct("good", "full", F.round("vote", 9), -F.col("seq")))
-    normal = exact.groupBy("group", "field", "norm").agg(best.alias("seq"), F.max(F.struct("good", "full")).alias("top"), F.round(F.sum("vote"), 9).alias("votes"))
-    won = normal.groupBy("group", "field").agg(F.max_by("seq", F.struct("top", "votes", -F.col("seq"))).alias("seq"))
+    exact = long.groupBy("group", "field", F.md5("norm").alias("norm"), F.md5("exact").alias("exact")).agg(F.min("seq").alias("seq"), F.sum("vote").alias("vote"))
+    size = lambda c: F.round(F.log2(c), 6)  # noqa: E731  # sums in another order are equal
+    normal = exact.groupBy("group", "field", "norm").agg(F.max_by("seq", F.struct(size(F.col("vote")), -F.col("seq"))).alias("seq"), F.sum("vote").alias("votes"))
+    won = normal.groupBy("group", "field").agg(F.max_by("seq", F.struct(size(F.col("votes")), -F.col("seq"))).alias("seq"))
     return won.select(F.col("group").alias(group), "field", F.col("seq").alias(seq))
 
 
