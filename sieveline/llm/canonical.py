@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveline.llm.names import near
+
 #: The list is sent to every executor; a longer one is refused.
 MOST_ENTRIES = 100_000
 #: Letters of other scripts that look like Latin ones.
@@ -125,12 +127,20 @@ class Matcher:
         for what, name in sorted(entries):
             names.setdefault(fold(name), what)
         parts = [self.split(x) for x in names]
-        # Only where the list is a grid of kinds and topics; for other lists there are no combinations to shut out.
         kinds, topics = {k for k, _ in parts if k}, {t for k, t in parts if k}
+        # Combinations that are not on the list are entries too where there aren't many more of them than entries; else they are compared when a value comes near an entry.
+        self.pairs: dict[int, list[tuple[str, str]]] = {}
+        self.kinds, self.topics, self.topic_names, self.listed = sorted(kinds), Trie(), sorted(topics), set(names)
         if len(kinds) * len(topics) <= 20 * len(names):
             for k in kinds:
                 for t in topics:
                     names.setdefault(f"{k} {t}", 0)
+        else:
+            for name, (k, t) in zip(list(names), parts):
+                if k:
+                    self.pairs.setdefault(names[name], []).append((k, t))
+            for i, t in enumerate(self.topic_names):
+                self.topics.add(t, i)
         for name, what in names.items():
             self.full.add(name, what)
             self.full.add(self.without(name), what)
@@ -179,13 +189,12 @@ class Matcher:
             got = self.known[raw] = self.search(raw)
         return got
 
-    def search(self, raw: str) -> int:
+    def within(self, raw: str) -> dict[int, int]:
+        """All entries within the distance that the value's length allows, each with its least distance; 0 stands for combinations that are not on the list."""
         cut = MARK.search(raw)
-        forms = [x for x in self.forms(fold(MARK.sub("", raw) if cut else raw)) if x]
-        for x in forms:
-            for ids in (self.full.exact(x), self.alias.exact(re.sub(r"[,:]", " ", x))):
-                if len(ids) == 1:
-                    return next(iter(ids))
+        return self.nearest([x for x in self.forms(fold(MARK.sub("", raw) if cut else raw)) if x], bool(cut))
+
+    def nearest(self, forms: list[str], cut: bool) -> dict[int, int]:
         best: dict[int, int] = {}
         for x in forms:
             for ids, extra in ((self.full.near(x, budget(len(x))), 0), (self.full.near(x, min(2, budget(len(x))), True) if cut and len(x) > 7 else {}, 0), (self.alias.near(x, min(1, budget(len(x)))), 0)):
@@ -193,11 +202,32 @@ class Matcher:
                     best[what] = min(best.get(what, 99), d + extra)
             if best:
                 break
+        return best
+
+    def search(self, raw: str) -> int:
+        cut = MARK.search(raw)
+        forms = [x for x in self.forms(fold(MARK.sub("", raw) if cut else raw)) if x]
+        for x in forms:
+            for ids in (self.full.exact(x), self.alias.exact(re.sub(r"[,:]", " ", x))):
+                if len(ids) == 1:
+                    return next(iter(ids))
+        best = self.nearest(forms, bool(cut))
         least = min(best.values(), default=99)
         ids = [x for x, d in best.items() if d == least]
         if cut and len(ids) > 1:  # several entries begin so: one that is on the list alone
             ids = [x for x in ids if x]
-        return ids[0] if len(ids) == 1 else 0
+        return ids[0] if len(ids) == 1 and not self.off_list(ids[0], forms, least) else 0
+
+    def off_list(self, what: int, forms: list[str], distance: int) -> bool:
+        """Whether a combination of a kind and a topic that is not on the list is nearer than the entry."""
+        for k, t in self.pairs.get(what, ()) if distance else ():
+            for x in forms:
+                if any(other != k and f"{other} {t}" not in self.listed and near(x, f"{other} {t}", distance - 1) for other in self.kinds):
+                    return True
+                rest = x[len(k) + 1 :] if x.startswith(k + " ") else ""
+                if rest and any(self.topic_names[i] != t and f"{k} {self.topic_names[i]}" not in self.listed for i in self.topics.near(rest, distance - 1)):
+                    return True
+        return False
 
 
 def reference_list(entries: DataFrame, key: str, name: str, affix: str | None = None, most: int = MOST_ENTRIES) -> tuple[list[tuple[int, str]], list[str]]:

@@ -103,7 +103,7 @@ def features(text: str | None, classes: Classes, idf: np.ndarray) -> list[float]
 
 
 class Ordinal:
-    """Proportional odds with a ridge penalty, fitted by Newton's steps with halving."""
+    """Proportional odds with a ridge penalty, fitted by gradient steps with momentum scaled by their past size."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = RIDGE):
         self.mean, self.scale = x.mean(0), np.maximum(x.std(0), 1e-9)
@@ -199,9 +199,9 @@ def fitted(labelled: DataFrame, level: str, most: int = MOST_LABELS) -> Ordinal
 def reading_levels(docs: DataFrame, labels: DataFrame, *, key: str, text: str, level: str) -> DataFrame:
     """Columns key, level of every text of English prose."""
     idf = rarity_of(docs, text)
-    # The ratings are far fewer than the documents; their keys are joined by hash, texts of other documents never move.
-    rated = labels.select(key, level).where(f"{key} is not null and {level} is not null")
-    labelled = with_features(docs.select(key, text).join(rated, key), key, text, idf, [level])
+    # The ratings that the model is fitted to, at most MOST_LABELS, are chosen before the join, so they go to the documents and no text moves.
+    rated = labels.select(key, level).where(f"{key} is not null").where(F.col(level).between(LEVELS[0], LEVELS[-1])).orderBy(F.xxhash64(key, level), key, level).limit(MOST_LABELS)
+    labelled = with_features(docs.select(key, text).join(F.broadcast(rated), key), key, text, idf, [level])
     model = fitted(labelled, level)
     schema = T.StructType([docs.schema[key], T.StructField(level, T.IntegerType())])
     if model is None:

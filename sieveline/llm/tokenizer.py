@@ -69,7 +69,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}  # ids as int32
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         merges = pa.table({"a": pa.array([ids[a] for a, _ in pairs], pa.int32()), "b": pa.array([ids[b] for _, b in pairs], pa.int32()), "rank": pa.array(range(len(pairs)), pa.int32()), "merged": pa.array([ids[a + b] for a, b in pairs], pa.int32())})
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.con.register("given", merges)
         self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.con.unregister("given")

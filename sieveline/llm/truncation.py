@@ -45,12 +45,14 @@ WORD = re.compile(r"[\w'’-]+")
 
 #: Ends that look like the end of a sentence: an abbreviation, a number whose decimals may be missing.
 FALSE_END = re.compile(r"(\b(fig|cf|vs|approx|al|eq|sec)|(?<!fig\. )\b\d+)\.$", re.I)
+#: Between sentences.
+SENTENCE = re.compile(r"[.!?。！？][)\]\"'”’»]*\s+(?=[^\W\d_a-z]|[\"'“‘«(\[<])|[。！？]")
 #: UTF-8 read as Latin: its quotation marks aren't quotation marks.
 MISREAD = re.compile(r"â€.")
 
 
 def open_at_end(text: str) -> bool:
-    """Whether a bracket, tag or quote that is still open at the end was opened late: brackets that were never closed anywhere are a habit of some texts."""
+    """Whether a bracket, tag or quote is still open at the end that the last sentence opened: one that a sentence left open before is a habit of its text, not a lost end."""
     stack: list[tuple[str, int]] = []
     if "â€" in text:
         text = MISREAD.sub("---", text)
@@ -70,7 +72,8 @@ def open_at_end(text: str) -> bool:
                     pass
             else:
                 stack.append((t, m.start()))
-    return any(len(text) - at <= 40 for _, at in stack)
+    last = max((m.end() for m in SENTENCE.finditer(text)), default=0)
+    return any(at >= last for _, at in stack)
 
 
 def judge(field: str, value: str | None, venue: str | None, ends: set[str], keywords: int) -> int | None:

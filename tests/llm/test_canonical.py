@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sieveline.llm.canonical import Matcher, Trie, map_to_list
+from sieveline.llm.canonical import KINDS, Matcher, Trie, map_to_list
 from pyspark.sql import functions as F
 
 LIST = [(1, "Annals of Chromatic Signal Theory"), (2, "Letters in Chromatic Signal Theory"), (3, "Annals of Lumenal Computing"), (4, "International Conference on Lumenal Computing")]
@@ -46,3 +46,15 @@ def test_rows(spark):
     got = map_to_list(rows, "delivery_seq", F.col("value"), names, key="venue_id", name="name", affix="publisher")
     assert sorted((r.delivery_seq, r.venue_id) for r in got.collect()) == [(1, 1), (1, 1), (5, 0)]
     assert map_to_list(rows.limit(0), "delivery_seq", F.col("value"), names.limit(0), key="venue_id", name="name").count() == 0
+
+
+def test_combinations_off_a_sparse_list_are_none():
+    # 40 kinds and 40 topics, but 44 entries: the combinations are not built, and still not pulled to their neighbours.
+    words = [w.title() for w in KINDS]
+    kinds = [f"{a} {b} of" for a in words for b in words if a != b][:40]
+    topics = ["".join(x) + " Studies" for x in zip("abcdefghijklmnopqrst" * 2, "eiou" * 10, "nrtlsm" * 7, "ae" * 20, "klmnv" * 8)]
+    entries = [(i + 1, f"{kinds[i % 40]} {topics[i % 40]}") for i in range(40)] + [(50, "Journal of Lumenal Optics"), (51, "Letters in Lumenal Optics"), (52, "Journal of Spectral Optics"), (53, "Annals of Lumenal Optics")]
+    m = Matcher(entries, [])
+    assert m.pairs and m.of("Journal of Lumenal Optcs") == 50
+    assert m.of("Letters in Spectral Optics") == 0 and m.of("Leters in Spectral Optics") == 0
+    assert m.within("Journal of Lumenal Optcs")[50] == 1

@@ -20,6 +20,8 @@ ENDS = {"noise", "drift", "sensing"}
         ("snippet", "It works well. [12]", None, OK),
         ("snippet", "It works wel", None, WEAK),
         ("snippet", "It works, see [12", None, STRONG),
+        ("snippet", "We prove it. The result (obtained with the method of the second part under all of the conditions that hold", None, STRONG),
+        ("snippet", "A habit (never closed. It is so here and works without an end", None, WEAK),
         ("snippet", "It works &am", None, STRONG),
         ("snippet", "It works <i", None, STRONG),
         ("snippet", "It works �", None, STRONG),
