@@ -47,6 +47,24 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)])
 
 
+def sharing_words(a: DataFrame, b: DataFrame, ta: str, tb: str, on: list[str]) -> DataFrame:
+    """All pairs of a and b, equal in on, whose texts share at least half of the words of the longer one. Prefix filter: of a text of n words the n - ceil(n / 2) + 1 rarest are joined, one of
+    which both must have; a misspelt word is only one of them. What shares one is verified on all words."""
+    words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
+    texts = a.select(F.col(ta).alias("t")).unionAll(b.select(F.col(tb).alias("t"))).distinct()
+    each = texts.select("t", F.explode(words("t")).alias("w"))
+    often = each.groupBy("w").agg(F.count("*").alias("df"))
+    ranked = each.join(often, "w").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
+    n = F.size("ws")
+    prefix = ranked.select("t", F.explode(F.slice("ws.w", F.lit(1), n - F.ceil(n / 2).cast("int") + 1)).alias("w"))
+    left, right = prefix.withColumnsRenamed({"t": ta}), prefix.withColumnsRenamed({"t": tb})
+    x = a.select(ta, *on).distinct().join(left, ta)
+    y = b.select(tb, *on).distinct().join(right, tb)
+    wa, wb = words(ta), words(tb)
+    met = x.join(y, [*on, "w"]).where(F.size(F.array_intersect(wa, wb)) * 2 >= F.greatest(F.size(wa), F.size(wb))).select(ta, tb, *on).distinct()
+    return met.join(a, [ta, *on]).join(b, [tb, *on])
+
+
 def best_match(candidates: DataFrame, key: str, ratio: Column, bonus: Column, least: float, margin: float) -> DataFrame:
     """The best candidate of each key by ratio plus bonus, if its ratio is high enough and not too near that of the second."""
     scored = candidates.withColumn("_ratio", ratio)

@@ -100,10 +100,10 @@ def fingerprint_ids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "alert_candidate").select("delivery_seq", X.record_id(F.col("source.message_id"), F.col("position_in_message").cast("string")).alias("id"), X.fingerprint(F.col("title"), F.col("year"), F.col("venue.raw")).alias("fingerprint"))
 
 
-@query(r"SELECT delivery_seq, CASE WHEN regexp_matches(links.primary_url, '^https?://') THEN split_part(split_part(links.primary_url, '#', 1), '?', 1) END AS url, lower(regexp_extract(links.primary_url, '^https?://([^/?#:]+)', 1)) AS host FROM alert_candidate WHERE links.primary_url NOT LIKE '%?%'")
+@query(r"SELECT delivery_seq, CASE WHEN regexp_matches(links.primary_url, '^https?://') THEN split_part(split_part(links.primary_url, '#', 1), '?', 1) END AS url, lower(regexp_extract(links.primary_url, '^https?://([^/?#:]+)', 1)) AS host FROM alert_candidate")
 def url_canonicalize(spark: SparkSession, d: str) -> DataFrame:
     u = F.col("links.primary_url")
-    return table(spark, d, "alert_candidate").where(~u.like("%?%")).select("delivery_seq", X.clean_url(u).alias("url"), X.host(u).alias("host"))
+    return table(spark, d, "alert_candidate").select("delivery_seq", X.clean_url(u).alias("url"), X.host(u).alias("host"))
 
 
 @query("SELECT h LIKE '%.example' AS known, count(*) AS n FROM (SELECT regexp_extract(links.primary_url, '^https?://([^/?#:]+)', 1) AS h FROM alert_candidate WHERE links.primary_url IS NOT NULL) GROUP BY 1")
@@ -111,9 +111,9 @@ def host_suffix_class(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "alert_candidate").where("links.primary_url is not null").select(X.host_in(X.host(F.col("links.primary_url")), ["example"]).alias("known")).groupBy("known").agg(F.count("*").alias("n"))
 
 
-@query(r"SELECT mention_id, nullif(regexp_replace(regexp_extract(trim(lower(name), ' '), '(\S+)$', 1), '[^\p{L}\p{N}]', '', 'g'), '') AS author_key FROM optical_zo WHERE regexp_matches(name, '^[A-Za-z .,]*[A-Za-z.]$')")
+@query(r"SELECT mention_id, nullif(regexp_replace(regexp_extract(trim(lower(name), ' '), '(\S+)$', 1), '[^\p{L}\p{N}]', '', 'g'), '') AS author_key FROM optical_zo")
 def author_keys(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "optical_zo").where(F.col("name").rlike("^[A-Za-z .,]*[A-Za-z.]$")).select("mention_id", X.author_key(F.col("name")).alias("author_key"))
+    return table(spark, d, "optical_zo").select("mention_id", X.author_key(F.col("name")).alias("author_key"))
 
 
 @query(
@@ -486,10 +486,10 @@ def field_source_choice(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", chosen.alias("f")).select("c_custkey", "f.name", "f.source")
 
 
-@query("SELECT registry_seq, normalized_title AS rebuilt FROM openalex_candidate WHERE normalized_title IS NOT NULL AND normalized_title NOT LIKE '%  %'")
+@query("SELECT registry_seq, normalized_title AS rebuilt FROM openalex_candidate WHERE normalized_title IS NOT NULL")
 def inverted_abstract(spark: SparkSession, d: str) -> DataFrame:
     """A text becomes a map from word to positions and is rebuilt from it."""
-    return rebuilt(table(spark, d, "openalex_candidate").where("normalized_title is not null and normalized_title not like '%  %'"))
+    return rebuilt(table(spark, d, "openalex_candidate").where("normalized_title is not null"))
 
 
 def rebuilt(o: DataFrame) -> DataFrame:
@@ -530,10 +530,10 @@ def json_leaf_walk(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", "path", "value")
 
 
-@query("SELECT k AS key, registry_seq // 65536 AS block, array_to_string(list_sort(list(DISTINCT registry_seq)), ',') AS ids FROM (SELECT registry_seq, unnest(string_split(normalized_title, ' ')) AS k FROM openalex_candidate) WHERE length(k) >= 14 GROUP BY 1, 2")
+@query("SELECT k AS key, registry_seq // 65536 AS block, array_to_string(list_sort(list(DISTINCT registry_seq)), ',') AS ids FROM (SELECT registry_seq, unnest(string_split(normalized_title, ' ')) AS k FROM openalex_candidate) WHERE k <> '' GROUP BY 1, 2")
 def inverted_index(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "openalex_candidate")
-    return TX.inverted_index(o, F.filter(F.split("normalized_title", " "), lambda w: F.length(w) >= 14), "registry_seq").select("key", "block", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+    return TX.inverted_index(o, F.filter(F.split("normalized_title", " "), lambda w: w != ""), "registry_seq").select("key", "block", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
 
 
 @query("SELECT delivery_seq, array_to_string(list_sort(list_filter([CASE WHEN year >= 2024 THEN 'recent' END, CASE WHEN regexp_matches(title, '(?i)hardware|circuit|chip') THEN 'hardware' END, CASE WHEN len(authors) >= 4 THEN 'team' END, CASE WHEN snippet IS NULL THEN 'bare' END], lambda t: t IS NOT NULL)), ',') AS tags FROM alert_candidate")
@@ -544,15 +544,12 @@ def tag_derivation(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
-    """Best accepted title for each later title of the same year, candidates blocked by three rarest words."""
+    """Best accepted title for each later title of the same year."""
     o = table(spark, d, "openalex_candidate").where("normalized_title is not null and year is not null").select("candidate_id", "batch_no", "year", "normalized_title")
-    words = o.select("normalized_title").distinct().select("normalized_title", F.explode(F.array_distinct(F.split("normalized_title", " "))).alias("w"))
-    rare = words.join(words.groupBy("w").agg(F.count("*").alias("df")), "w").groupBy("normalized_title").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
-    block = rare.select("normalized_title", F.concat_ws(" ", F.array_sort(F.slice("ws.w", F.lit(1), F.lit(3)))).alias("block"))
-    blocked = o.join(block, "normalized_title")
-    a = blocked.where("batch_no > 0").select(F.col("candidate_id").alias("later"), F.col("normalized_title").alias("ta"), "year", "block")
-    b = blocked.where("batch_no = 0").select(F.col("candidate_id").alias("candidate"), F.col("normalized_title").alias("tb"), "year", "block")
-    return TX.best_match(a.join(b, ["block", "year"]), "later", TX.similarity(F.col("ta"), F.col("tb")), F.lit(0.0), 0.9, 0.02).select("later", "candidate", F.round("ratio", 6).alias("ratio"))
+    a = o.where("batch_no > 0").select(F.col("candidate_id").alias("later"), F.col("normalized_title").alias("ta"), "year")
+    b = o.where("batch_no = 0").select(F.col("candidate_id").alias("candidate"), F.col("normalized_title").alias("tb"), "year")
+    pairs = TX.sharing_words(a, b, "ta", "tb", ["year"])
+    return TX.best_match(pairs, "later", TX.similarity(F.col("ta"), F.col("tb")), F.lit(0.0), 0.9, 0.02).select("later", "candidate", F.round("ratio", 6).alias("ratio"))
 
 
 @query("SELECT event_id, user_id, event_type FROM events")
@@ -598,8 +595,9 @@ def html_plain_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    r"""WITH h AS (SELECT doc_id, length(text) AS n, list_distinct(list_filter(list_transform(generate_series(1, length(text)), lambda i: CASE WHEN lower(substr(text, i, 6)) = 'sensor' THEN i - 1 END), lambda i: i IS NOT NULL)) AS hits FROM documents WHERE length(text) < 1500),
-    s AS (SELECT doc_id, greatest(x - 100, 0) AS s, least(x + 200, n) AS e FROM (SELECT doc_id, n, unnest(hits) AS x FROM h)),
+    r"""WITH p AS (SELECT doc_id, length(text) AS n, unnest(string_split(lower(text), 'sensor')) AS part, generate_subscripts(string_split(lower(text), 'sensor'), 1) AS i FROM documents WHERE text IS NOT NULL),
+    h AS (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id) AS c, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) + 6 * (i - 1) AS x FROM p),
+    s AS (SELECT doc_id, greatest(x - 100, 0) AS s, least(x + 200, n) AS e FROM h WHERE i < c),
     m AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s),
     g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM m)
     SELECT doc_id, CAST(min(s) AS INTEGER) AS s, CAST(max(e) AS INTEGER) AS e FROM g GROUP BY doc_id, i"""
@@ -607,41 +605,6 @@ def html_plain_text(spark: SparkSession, d: str) -> DataFrame:
 def keyword_windows(spark: SparkSession, d: str) -> DataFrame:
     from sieveline.functions.documents import keyword_windows as windows
 
-    docs = table(spark, d, "documents").where("length(text) < 1500")
-    return docs.select("doc_id", F.explode(windows(F.col("text"), "sensor", 100, 200)).alias("w")).select("doc_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
-
-
-@query()
-def url_canonicalize_whole(spark: SparkSession, d: str) -> DataFrame:
-    """url_canonicalize also of URLs with query parts."""
-    u = F.col("links.primary_url")
-    return table(spark, d, "alert_candidate").select("delivery_seq", X.clean_url(u).alias("url"), X.host(u).alias("host"))
-
-
-@query()
-def author_keys_whole(spark: SparkSession, d: str) -> DataFrame:
-    """author_keys of names in any script."""
-    return table(spark, d, "optical_zo").select("mention_id", X.author_key(F.col("name")).alias("author_key"))
-
-
-@query()
-def inverted_abstract_whole(spark: SparkSession, d: str) -> DataFrame:
-    """inverted_abstract also of titles with several spaces, whose empty words have places too."""
-    return rebuilt(table(spark, d, "openalex_candidate").where("normalized_title is not null"))
-
-
-@query()
-def inverted_index_whole(spark: SparkSession, d: str) -> DataFrame:
-    """inverted_index of words of any length."""
-    o = table(spark, d, "openalex_candidate")
-    return TX.inverted_index(o, F.filter(F.split("normalized_title", " "), lambda w: w != ""), "registry_seq").select("key", "block", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
-
-
-@query()
-def keyword_windows_whole(spark: SparkSession, d: str) -> DataFrame:
-    """keyword_windows over texts of any length; its SQL tests every character position and is bounded to short texts."""
-    from sieveline.functions.documents import keyword_windows as windows
-
     docs = table(spark, d, "documents")
     return docs.select("doc_id", F.explode(windows(F.col("text"), "sensor", 100, 200)).alias("w")).select("doc_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
 

@@ -18,7 +18,7 @@ def test_keyword_windows_of_long_texts(spark, tmp_path):
             else:
                 merged.append([s, e])
         want |= {(i, s, e) for s, e in merged}
-    got = {(r.doc_id, r.s, r.e) for r in entry.queries()["keyword_windows_whole"](spark, str(tmp_path)).collect()}
+    got = {(r.doc_id, r.s, r.e) for r in entry.queries()["keyword_windows"](spark, str(tmp_path)).collect()}
     assert got == want and len(got) == 4
 
 
@@ -30,17 +30,17 @@ def test_index_of_all_words(spark, tmp_path):
     for i, t in rows:
         for w in (t or "").split():
             want.setdefault((w, i // 65_536), set()).add(i)
-    got = {(r.key, r.block): {int(i) for i in r.ids.split(",")} for r in entry.queries()["inverted_index_whole"](spark, str(tmp_path)).collect()}
+    got = {(r.key, r.block): {int(i) for i in r.ids.split(",")} for r in entry.queries()["inverted_index"](spark, str(tmp_path)).collect()}
     assert got == want
-    assert {(r.registry_seq, r.rebuilt) for r in entry.queries()["inverted_abstract_whole"](spark, str(tmp_path)).collect()} == {(i, t) for i, t in rows if t is not None}
+    assert {(r.registry_seq, r.rebuilt) for r in entry.queries()["inverted_abstract"](spark, str(tmp_path)).collect()} == {(i, t) for i, t in rows if t is not None}
 
 
 def test_urls_and_names_of_any_form(spark, tmp_path):
     urls = ["https://A.example/x?utm_source=q&y=1#z", "http://b.example/p", "ftp://c", None]
     spark.createDataFrame([(i, (u,)) for i, u in enumerate(urls)], "delivery_seq int, links struct<primary_url: string>").write.parquet(f"{tmp_path}/alert_candidate.parquet")
-    got = {r.delivery_seq: (r.url, r.host) for r in entry.queries()["url_canonicalize_whole"](spark, str(tmp_path)).collect()}
+    got = {r.delivery_seq: (r.url, r.host) for r in entry.queries()["url_canonicalize"](spark, str(tmp_path)).collect()}
     assert len(got) == 4 and got[0] == ("https://A.example/x?y=1", "a.example") and got[1] == ("http://b.example/p", "b.example") and got[2][0] is None
     names = ["Ana Pérez-Gómez", "Li 王", "J. O’Neil", "Smith"]
     spark.createDataFrame(list(enumerate(names)), "mention_id bigint, name string").write.parquet(f"{tmp_path}/optical_zo.parquet")
-    got = {r.mention_id: r.author_key for r in entry.queries()["author_keys_whole"](spark, str(tmp_path)).collect()}
+    got = {r.mention_id: r.author_key for r in entry.queries()["author_keys"](spark, str(tmp_path)).collect()}
     assert got == {0: "pérezgómez", 1: "王", 2: "oneil", 3: "smith"}
