@@ -24,12 +24,13 @@ def components(pairs: DataFrame, a: str, b: str, node: str, group: str, hot_degr
     """
     raw = pairs.select(F.col(a).cast("string").alias("u"), F.col(b).cast("string").alias("v"))
     nodes = raw.select("u").unionAll(raw.select("v")).where("u is not null").distinct()
-    links = raw.where("u is not null and v is not null and u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    links = stored(raw.where("u is not null and v is not null and u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
     both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     degree = both.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("least"))
     state = stored(with_far(nodes.join(degree, "u", "left").select(F.col("u").alias("v"), F.least("u", "least").alias("near"), F.ceil(F.coalesce("n", F.lit(1)) / hot_degree).cast("int").alias("salts"), F.lit(True).alias("changed"))))
     hot = state.where("salts > 1").select(F.col("v").alias("u"), "salts")
     edges = stored(both.join(hot, "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")))
+    discard(links)
     while True:
         spread = state.select(F.col("v").alias("u"), "far", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         heard = edges.join(spread, ["u", "salt"]).groupBy("v").agg(F.min("far").alias("heard"))
@@ -37,9 +38,11 @@ def components(pairs: DataFrame, a: str, b: str, node: str, group: str, hot_degr
         hooks = step.groupBy(F.col("near").alias("v")).agg(F.min("heard").alias("hook"))
         moved = step.join(hooks, "v", "left").select("v", F.least("near", "far", "heard", "hook").alias("to"), "near", "salts")
         moved = moved.select("v", F.col("to").alias("near"), "salts", (F.col("to") < F.col("near")).alias("changed"))
-        before, state = state, stored(with_far(stored(moved)))
-        discard(before), discard(step)
+        inner = stored(moved)
+        before, state = state, stored(with_far(inner))
+        discard(before), discard(step), discard(inner)
         if not state.where("changed").take(1):
+            discard(edges)
             return state.select(F.col("v").alias(node), F.col("near").alias(group))
 
 

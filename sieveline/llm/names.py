@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from sieveline.llm.components import components
-from sieveline.runtime import stored
+from sieveline.runtime import discard, stored
 
 #: Length of the grams, and how many rare ones two tokens must share to be compared.
 Q, SHARED = 3, 3
@@ -170,6 +170,7 @@ def edits(a: Column, b: Column) -> Column:
 
 
 def most_edits(n: Column) -> Column:
+    """Tokens under five letters must be equal: most that are one edit apart are names of their own (Chen, Cheng, Chan; Lin, Liu)."""
     return F.when(n < 5, 0).when(n < 7, 1).otherwise(2)
 
 
@@ -180,7 +181,7 @@ def aligned(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def similar_tokens(tokens: DataFrame, token: str = "own") -> DataFrame:
-    """Pairs a < b of distinct tokens within the edit distance that their length allows, by a prefix-filtered join on q-grams.
+    """Pairs a < b (stored) of distinct tokens within the edit distance that their length allows, by a prefix-filtered join on q-grams.
 
     From LONG letters on a transposition of neighbours is one edit also beside others (up to Levenshtein distance 4). Three separate edits make
     another family: where no nearer spelling bridges them, both are names of their own.
@@ -208,14 +209,16 @@ def similar_tokens(tokens: DataFrame, token: str = "own") -> DataFrame:
     few = edits(F.col("a"), F.col("b")) <= most_edits(F.col("n"))
     near_by = near_by.where(few | ((F.col("n") >= LONG) & (F.col("d") <= 4)))
     asked = lambda c: F.when(F.col("d") > 2, F.col(c))
-    return near_by.where((F.col("d") <= 2) | aligned(asked("a"), asked("b"))).select("a", "b")
+    found = stored(near_by.where((F.col("d") <= 2) | aligned(asked("a"), asked("b"))).select("a", "b"), "similar")
+    discard(one), discard(keys)
+    return found
 
 
 def entities(mentions: DataFrame, name: str) -> DataFrame:
     """Columns name and entity of each distinct name that has letters."""
     names = stored(parsed(mentions.select(name), name), "names")
     tokens = names.select("own").distinct()
-    pairs = stored(similar_tokens(tokens), "similar")  # each round of components reads them
+    pairs = similar_tokens(tokens)
     family = components(pairs.unionAll(tokens.select(F.col("own").alias("a"), F.col("own").alias("b"))), "a", "b", "own", "family")
     rows = names.join(family, "own")
     # Full given names and topics, as often as they are mentioned in the family.
