@@ -2,7 +2,7 @@
 
 The vocabulary files are read where they lie on each executor; only their path is passed on. Texts are cut into words by the
 vocabulary's own pattern; each distinct word of a partition is encoded once: its bytes are rows (word, position, token) that join the merge
-table, and each round contracts the occurrences of a word's lowest-ranked pair, leftmost first, until no pair is left. An
+table, and each round contracts the occurrences of a word's lowest-ranked pair, leftmost first, until no pair is left (a query ends after ROUNDS and goes on from what is left). An
 ordered aggregation gives the word's ids, and a text's ids are those of its words in order.
 
 Cases: null and empty texts give an empty list; a blank text has the ids of its white space; special tokens in a text are
@@ -25,8 +25,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept encoded per task, and words contracted by one recursive query.
 KEPT_WORDS, WORDS_AT_ONCE = 400_000, 4_000
+#: Bytes of the words of one query (a longer word has its own), and rounds after which a query starts anew from what is left, so that it never holds more rounds than that.
+BYTES_AT_ONCE, ROUNDS = 60_000, 32
 
-CONTRACT = """
+CONTRACT = f"""
 WITH RECURSIVE t AS (
   SELECT word, pos, tok, 0 AS round FROM start
   UNION ALL
@@ -35,7 +37,7 @@ WITH RECURSIVE t AS (
    ), ranked AS (
      SELECT p.*, m.rank, m.merged, min(m.rank) OVER (PARTITION BY p.word) AS least FROM pairs p LEFT JOIN merges m ON m.a = p.tok AND m.b = p.nxt
    ), hits AS (
-     SELECT *, coalesce(rank = least, false) AS hit, n - row_number() OVER (PARTITION BY word, coalesce(rank = least, false) ORDER BY n) AS run FROM ranked WHERE least IS NOT NULL
+     SELECT *, coalesce(rank = least, false) AS hit, n - row_number() OVER (PARTITION BY word, coalesce(rank = least, false) ORDER BY n) AS run FROM ranked WHERE least IS NOT NULL AND round < {ROUNDS}
    ), chosen AS (
      SELECT *, hit AND (tok <> nxt OR row_number() OVER (PARTITION BY word, hit, run ORDER BY n) % 2 = 1) AS contract FROM hits
    ), marked AS (
@@ -43,7 +45,7 @@ WITH RECURSIVE t AS (
    )
    SELECT word, pos, CASE WHEN contract THEN merged ELSE tok END, round + 1 FROM marked WHERE NOT gone)
 )
-SELECT word, list(tok ORDER BY pos) FROM (SELECT *, max(round) OVER (PARTITION BY word) AS last FROM t) WHERE round = last GROUP BY word
+SELECT word, list(tok ORDER BY pos), any_value(last) FROM (SELECT *, max(round) OVER (PARTITION BY word) AS last FROM t) WHERE round = last GROUP BY word
 """
 
 
@@ -75,17 +77,24 @@ class Encoder:
         self.con.unregister("given")
 
     def learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            part = words[i : i + WORDS_AT_ONCE]
+        open_ = [(x, [self.byte_ids[b] for b in x.encode("utf-8", "replace")]) for x in words]
+        while open_:
+            part: list[tuple[str, list[int]]] = []
+            size = 0
+            while open_ and (not part or len(part) < WORDS_AT_ONCE and size + len(open_[-1][1]) <= BYTES_AT_ONCE):
+                part.append(open_.pop())
+                size += len(part[-1][1])
             word, pos, tok = [], [], []
-            for k, x in enumerate(part):
-                raw = x.encode("utf-8", "replace")
-                word += [k] * len(raw)
-                pos += range(len(raw))
-                tok += [self.byte_ids[b] for b in raw]
+            for k, (_, tokens) in enumerate(part):
+                word += [k] * len(tokens)
+                pos += range(len(tokens))
+                tok += tokens
             self.con.register("start", pa.table({"word": pa.array(word, pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(tok, pa.int32())}))
-            for k, out in self.con.execute(CONTRACT).fetchall():
-                self.known[part[k]] = array("i", out).tobytes()
+            for k, out, last in self.con.execute(CONTRACT).fetchall():
+                if last < ROUNDS:
+                    self.known[part[k][0]] = array("i", out).tobytes()
+                else:
+                    open_.append((part[k][0], out))
             self.con.unregister("start")
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:

@@ -29,3 +29,8 @@ def test_corpus_rows(spark, reference):
     got = sorted((r.doc_id, list(r.ids)) for r in encode_corpus(df, "doc_id", "text").collect())
     assert got == sorted([(i, reference(x)) for i, x in enumerate(TEXTS)] + [(3, reference(TEXTS[3]))])
     assert encode_corpus(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_long_words_in_several_queries(reference):
+    x = "".join(chr(97 + (i * i + 7 * i) % 23) for i in range(20_000))
+    assert Encoder(VOCABULARY).encode([x, "short " + x[:3000]]).to_pylist() == [reference(x), reference("short " + x[:3000])]
