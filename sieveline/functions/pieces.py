@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,3 +46,42 @@ def quantities(text: Column, pattern: str) -> Column:
     """Numbers with units, in one spelling: no spaces, % for percent, ~ before approximations."""
     plain = lambda t: F.replace(F.replace(F.trim(t), F.lit("approximately "), F.lit("~")), F.lit("about "), F.lit("~"))
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda t: F.replace(F.regexp_replace(plain(t), " ?percent", "%"), F.lit(" "), F.lit("")))
+
+
+@F.pandas_udf("array<struct<path:string,value:string>>")
+def leaves(x: pd.Series) -> pd.Series:
+    """Every string leaf of a JSON text with its path, at any depth; text after the value is ignored, and what is no JSON has none. The one walk that has no built-in."""
+
+    def walk(value, path: str, out: list) -> list:
+        if isinstance(value, dict):
+            for k, v in value.items():
+                walk(v, f"{path}.{k}" if path else k, out)
+        elif isinstance(value, list):
+            for i, v in enumerate(value):
+                walk(v, f"{path}[{i}]", out)
+        elif isinstance(value, str):
+            out.append({"path": path, "value": value})
+        return out
+
+    def of(text: str | None) -> list | None:
+        if text is None:
+            return None
+        try:
+            return walk(json.JSONDecoder().raw_decode(text.lstrip())[0], "", [])
+        except ValueError:
+            return []
+
+    return x.map(of)
+
+
+@F.pandas_udf("string")
+def json_prefix(x: pd.Series) -> pd.Series:
+    """The JSON value that a text begins with, without what stands after it; null where it begins with none."""
+
+    def of(text: str | None) -> str | None:
+        try:
+            return None if text is None else text.lstrip()[: json.JSONDecoder().raw_decode(text.lstrip())[1]]
+        except ValueError:
+            return None
+
+    return x.map(of)

@@ -387,3 +387,64 @@ def strict_grounding(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT delivery_seq, source.alert_name IN ('speckle imaging', 'saved search', 'optical zeroth-order') AS scored_only, list_contains(parse_status.warnings, 'missing_year') AS flagged FROM alert_candidate WHERE source.alert_name IS NOT NULL")
 def membership_filters(spark: SparkSession, d: str) -> DataFrame:
     return alerts(spark, d).where("source.alert_name is not null").select("delivery_seq", F.col("source.alert_name").isin("speckle imaging", "saved search", "optical zeroth-order").alias("scored_only"), F.array_contains("parse_status.warnings", "missing_year").alias("flagged"))
+
+
+# ---- nested values and rules -------------------------------------------------------------------------------------
+
+LEAF = "SELECT delivery_seq, '{0}' AS path, {1} AS value FROM alert_candidate"
+LEAVES = " UNION ALL ".join([LEAF.format(f"identifiers.{i}.{f}", f"identifiers.{i}.{f}") for i in ("doi", "arxiv_id", "pmid") for f in ("value", "verification_status", "source")] + [LEAF.format(f"venue.{f}", f"venue.{f}") for f in ("raw", "normalized", "verification_status")])
+NAMES = "SELECT delivery_seq, concat('authors[', i - 1, '].', f) AS path, v AS value FROM (SELECT delivery_seq, unnest(generate_series(1, len(authors))) AS i, unnest(authors) AS a FROM alert_candidate) CROSS JOIN (VALUES ('name'), ('orcid'), ('verification_status')) n(f) CROSS JOIN LATERAL (SELECT CASE f WHEN 'name' THEN a.name WHEN 'orcid' THEN a.orcid ELSE a.verification_status END AS v)"
+
+
+def nested(spark: SparkSession, d: str) -> DataFrame:
+    doc = F.to_json(F.struct("identifiers", "venue", "authors"))
+    return alerts(spark, d).select("delivery_seq", F.explode(P.leaves(doc)).alias("leaf")).select("delivery_seq", "leaf.path", "leaf.value")
+
+
+@query(f"SELECT * FROM ({LEAVES} UNION ALL {NAMES}) WHERE value IS NOT NULL")
+def nested_leaves(spark: SparkSession, d: str) -> DataFrame:
+    """Every string leaf of nested values with its path."""
+    return nested(spark, d)
+
+
+@query(f"SELECT delivery_seq, count(*) AS n FROM ({LEAVES} UNION ALL {NAMES}) WHERE value = 'missing' GROUP BY 1")
+def sentinel_count(spark: SparkSession, d: str) -> DataFrame:
+    """How often a sentinel stands in a nested value."""
+    return nested(spark, d).where("value = 'missing'").groupBy("delivery_seq").agg(F.count("*").alias("n"))
+
+
+@query(
+    r"""WITH l AS (SELECT delivery_seq, 'title' AS path, title AS t, snippet AS s FROM alert_candidate UNION ALL SELECT delivery_seq, 'raw_metadata_line', raw_metadata_line, snippet FROM alert_candidate),
+    n AS (SELECT delivery_seq, path, t, s, unnest(list_distinct(regexp_extract_all(t, '[0-9]+(?:\.[0-9]+)?'))) AS number FROM l WHERE t IS NOT NULL)
+    SELECT delivery_seq, path, number, regexp_replace(substr(t, greatest(instr(t, number) - 20, 1), least(instr(t, number) - 1, 20) + length(number) + 20), '\s+', ' ', 'g') AS excerpt FROM n WHERE NOT list_contains(regexp_extract_all(coalesce(s, ''), '[0-9]+(?:\.[0-9]+)?'), number)"""
+)
+def grounding_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers that the snippet doesn't hold, with the field they stand in and what is around them."""
+    numbers = lambda c: F.regexp_extract_all(c, F.lit(r"([0-9]+(?:\.[0-9]+)?)"), F.lit(1))
+    fields = F.explode(F.array(*(F.struct(F.lit(c).alias("path"), F.col(c).alias("t")) for c in ("title", "raw_metadata_line"))))
+    each = alerts(spark, d).select("delivery_seq", "snippet", fields.alias("f")).select("delivery_seq", "snippet", "f.path", "f.t").where("t is not null")
+    odd = each.withColumn("number", F.explode(F.array_except(numbers(F.col("t")), numbers(F.coalesce("snippet", F.lit(""))))))
+    at = F.expr("instr(t, number)")
+    before = F.least(at - 1, F.lit(20))
+    return odd.select("delivery_seq", "path", "number", F.regexp_replace(F.substring(F.col("t"), at - before, before + F.length("number") + 20), r"\s+", " ").alias("excerpt"))
+
+
+@query(
+    """WITH t AS (SELECT delivery_seq, source.source_type AS s, concat_ws(' ', title, snippet) AS x FROM alert_candidate)
+    SELECT delivery_seq, array_to_string(list_filter([CASE WHEN regexp_matches(x, '(?i)on-chip|in-situ') THEN 'hardware' END, CASE WHEN regexp_matches(x, '(?i)zeroth|gradient-free') THEN 'zeroth' END], lambda v: v IS NOT NULL), ' ') AS features,
+    round(CASE WHEN regexp_matches(x, '(?i)on-chip|in-situ') THEN 0.25 ELSE 0 END + CASE WHEN regexp_matches(x, '(?i)zeroth|gradient-free') THEN 0.5 ELSE 0 END, 6)::DOUBLE AS weight,
+    regexp_matches(x, '(?i)review|survey') AS negative, regexp_matches(x, '(?i)zeroth') AND s LIKE '%email%' AS mandatory FROM t"""
+)
+def priority_features(spark: SparkSession, d: str) -> DataFrame:
+    """Features with weights; negative patterns are recorded and veto nothing; an override holds for one kind of source only."""
+    x = F.concat_ws(" ", "title", "snippet")
+    rules = {"hardware": (x.rlike("(?i)on-chip|in-situ"), 0.25), "zeroth": (x.rlike("(?i)zeroth|gradient-free"), 0.5)}
+    weight = sum((F.when(r, w).otherwise(0.0) for r, w in rules.values()), F.lit(0.0))
+    return alerts(spark, d).select("delivery_seq", F.array_join(P.flags({n: r for n, (r, _) in rules.items()}), " ").alias("features"), F.round(weight, 6).alias("weight"), x.rlike("(?i)review|survey").alias("negative"), (x.rlike("(?i)zeroth") & F.col("source.source_type").like("%email%")).alias("mandatory"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def prefix_json(spark: SparkSession, d: str) -> DataFrame:
+    """The value that begins a text, whatever stands after it."""
+    text = F.concat(F.lit(" "), "props", F.lit(" and what follows }"))
+    return table(spark, d, "events").select("event_id", F.get_json_object(P.json_prefix(text), "$.k").cast("bigint").alias("k"))
