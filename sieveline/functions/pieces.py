@@ -8,6 +8,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def flags(rules: Mapping[str, Column]) -> Column:
@@ -48,7 +49,7 @@ def quantities(text: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda t: F.replace(F.regexp_replace(plain(t), " ?percent", "%"), F.lit(" "), F.lit("")))
 
 
-@F.pandas_udf("array<struct<path:string,value:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("value", T.StringType())])))
 def leaves(x: pd.Series) -> pd.Series:
     """Every string leaf of a JSON text with its path, at any depth; text after the value is ignored, and what is no JSON has none. The one walk that has no built-in."""
 
@@ -74,7 +75,7 @@ def leaves(x: pd.Series) -> pd.Series:
     return x.map(of)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_prefix(x: pd.Series) -> pd.Series:
     """The JSON value that a text begins with, without what stands after it; null where it begins with none."""
 

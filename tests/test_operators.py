@@ -1,6 +1,7 @@
 import base64
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +78,17 @@ def test_greedy(spark):
     assert got == {1: "accepted", 2: "duplicate", 3: "accepted", 4: "known", 5: "filtered", 6: "accepted", 7: "accepted"}
 
 
+def test_greedy_equals_a_scan_in_order(spark):
+    rng = np.random.default_rng(6)
+    works = [(i, [f"k{k}" for k in rng.choice(25, int(rng.integers(0, 4)))], bool(rng.random() < 0.7)) for i in range(80)]
+    seen, want = set(), {}
+    for i, ks, ok in works:
+        want[i] = "known" if "k0" in ks else "duplicate" if seen & set(ks) else "accepted" if ok else "filtered"
+        seen |= set(ks) if want[i] == "accepted" else set()
+    df = spark.createDataFrame(works, "at int, keys array<string>, wanted boolean")
+    assert {r["at"]: r.disposition for r in discover.greedy_accept(df, spark.createDataFrame([("k0",)], "key string"), "at").collect()} == want
+
+
 def test_files(spark, tmp_path):
     schema = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("a", T.StructType([T.StructField("z", T.StringType()), T.StructField("y", T.StringType())]))])
     p = tmp_path / "x.jsonl"
