@@ -377,11 +377,13 @@ def numeric_tokens(spark: SparkSession, d: str) -> DataFrame:
 )
 def strict_grounding(spark: SparkSession, d: str) -> DataFrame:
     """Numbers of a text that its source doesn't hold: the plain set difference."""
-    sources = works(spark, d).groupBy("normalized_title").agg(F.min_by("snippet", "registry_seq").alias("reference"))
-    a = alerts(spark, d).where("snippet is not null").select("delivery_seq", "normalized_title", "snippet")
     numbers = lambda c: F.regexp_extract_all(c, F.lit(r"([0-9]+(?:\.[0-9]+)?)"), F.lit(1))
+    # Only the numbers go through the join, not the texts that hold them.
+    sources = works(spark, d).groupBy("normalized_title").agg(F.min_by("snippet", "registry_seq").alias("reference")).select("normalized_title", numbers(F.coalesce("reference", F.lit(""))).alias("held"))
+    a = alerts(spark, d).where("snippet is not null").select("delivery_seq", "normalized_title", numbers(F.col("snippet")).alias("said"))
     joined = R.salted_lookup(a, sources, "normalized_title", "delivery_seq", "left")
-    return joined.select("delivery_seq", F.array_join(F.array_sort(F.array_except(numbers(F.col("snippet")), numbers(F.coalesce("reference", F.lit(""))))), " ").alias("ungrounded"))
+    held = F.coalesce("held", F.array().cast("array<string>"))
+    return joined.select("delivery_seq", F.array_join(F.array_sort(F.array_except("said", held)), " ").alias("ungrounded"))
 
 
 @query("SELECT delivery_seq, source.alert_name IN ('speckle imaging', 'saved search', 'optical zeroth-order') AS scored_only, list_contains(parse_status.warnings, 'missing_year') AS flagged FROM alert_candidate WHERE source.alert_name IS NOT NULL")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.operators import discover, incremental, manifest, resolve, rules, score, select, textops
+from sieveline.operators.joins import salted_lookup
 from sieveline.sources import files, mail
 from sieveline.sources.paged import PagedSource
 
@@ -122,3 +123,12 @@ def test_paged_source(spark, tmp_path):
         (tmp_path / f"{i}.json").write_text(json.dumps({"results": [{"id": f"w{i}{j}"} for j in range(2)]}))
     spark.dataSource.register(PagedSource)
     assert spark.read.format("paged").option("path", str(tmp_path)).option("page_size", "2").option("max_rows", "4").load().count() == 4
+
+
+def test_copies_of_a_lookup_are_not_broadcast(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else str(i)) for i in range(60)] + [(60, None)], "id int, k string")
+    lookup = spark.createDataFrame([("hot", 1), ("3", 2)], "k string, v int")
+    joined = salted_lookup(rows, lookup, "k", "id", "left")
+    got = {(r.id, r.v) for r in joined.collect()}
+    assert got == {(i, 1 if i % 3 else 2 if i == 3 else None) for i in range(60)} | {(60, None)}
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
