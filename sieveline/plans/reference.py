@@ -548,7 +548,7 @@ def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "openalex_candidate").where("normalized_title is not null and year is not null").select("candidate_id", "batch_no", "year", "normalized_title")
     a = o.where("batch_no > 0").select(F.col("candidate_id").alias("later"), F.col("normalized_title").alias("ta"), "year")
     b = o.where("batch_no = 0").select(F.col("candidate_id").alias("candidate"), F.col("normalized_title").alias("tb"), "year")
-    pairs = TX.sharing_words(a, b, "ta", "tb", ["year"])
+    pairs = TX.sharing_words(a, b, "ta", "tb", ["year"], 0.88)  # what is under 0.9 - 0.02 is no match, nor near one
     return TX.best_match(pairs, "later", TX.similarity(F.col("ta"), F.col("tb")), F.lit(0.0), 0.9, 0.02).select("later", "candidate", F.round("ratio", 6).alias("ratio"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import pieces as P
 from sieveline.operators import gates as G
+from sieveline.operators import textops
 from sieveline.operators.resolve import title_closure
 from sieveline.operators.textops import best_match, sharing_words, similarity
 from sieveline.sources.files import read_document, write_document
@@ -36,6 +37,23 @@ def test_pairs_sharing_half_of_their_words_equal_brute_force(spark):
         assert abs(r.ratio - max(SequenceMatcher(None, a[r.later][1], u).ratio() for j, u in b if (r.later, j) in want)) < 1e-9
 
 
+def test_pairs_of_many_titles_in_blocks_keep_every_match(spark, monkeypatch):
+    monkeypatch.setattr(textops, "ROWS_A", 150), monkeypatch.setattr(textops, "ROWS_B", 400)
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), int(rng.integers(3, 8)))) for _ in range(60)]
+    b = [" ".join(rng.choice(words, int(rng.integers(1, 13)))) for _ in range(1500)]
+    a = [t.replace("a", "x", 1) + rng.choice(["", " b", "s"]) for t in b[:500]] + ["", "  ", "é \U0001f600 z" * 30]
+    x = spark.createDataFrame([(i, t, None if i == 7 else 1) for i, t in enumerate(a)], "later int, ta string, year int")
+    y = spark.createDataFrame([(i, t, 1) for i, t in enumerate(b)] + [(-1, None, 1), (-2, b[7], None)], "candidate int, tb string, year int")
+    pairs = sharing_words(x, y, "ta", "tb", ["year"], 0.8)
+    got = {(r.later, r.candidate) for r in pairs.collect()}
+    sets = [[set(t.split()) for t in side] for side in (a, b)]
+    shared = {(i, j) for i, s in enumerate(sets[0]) for j, u in enumerate(sets[1]) if i != 7 and s and len(s & u) * 2 >= max(len(s), len(u))}
+    high = {(i, j) for i, j in shared if (m := SequenceMatcher(None, a[i], b[j])).quick_ratio() >= 0.8 and m.ratio() >= 0.8}
+    assert high <= got <= shared and len(high) > 300 and len(got) < len(shared)
+    assert pairs.count() == len(got)
+
+
 def test_gates(spark):
     rows = spark.createDataFrame([(1, True), (1, True), (2, False), (2, True), (3, True)], "b int, ok boolean")
     assert [(r.b, r.advances, r.checkpoint) for r in G.checkpoints(rows, "b", ~F.col("ok")).orderBy("b").collect()] == [(1, True, 1), (2, False, 1), (3, True, 3)]
